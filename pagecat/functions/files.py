@@ -1,12 +1,11 @@
-"""File helpers: names, types, sizes. Sizes round half to even."""
+"""File helpers: names, types, sizes."""
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagecat.functions.numbers import ratio_text_expr
 from pagecat.functions.text import strip_expr
 
 # Fixed value: a size as people write it, at the start of a text.
@@ -34,12 +33,7 @@ def _units(size: Column, step: int, text) -> Column:
 
 def human_size_expr(size: Column) -> Column:
     """Decimal units, two digits."""
-    exact = size.cast("decimal(20,0)")
-    return _units(
-        size,
-        1000,
-        lambda power: F.bround(exact * F.lit(Decimal(1).scaleb(-3 * power)), 2).cast("string"),
-    )
+    return _units(size, 1000, lambda power: ratio_text_expr(size, 1000**power))
 
 
 def _binary_size_expr(size: Column) -> Column:

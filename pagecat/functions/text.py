@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # Unicode white space plus the four separators U+001C..U+001F.
 WS = r"[\s\x1C-\x1F]"
 _WS_RUN = rf"(?U){WS}+"
-_EDGE_WS = rf"(?U)^{WS}+|{WS}+$"
+_WS_CHARACTERS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 # The rest of a tag after its name: quoted values may hold '>'. Possessive: no backtracking.
 TAG_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
@@ -39,7 +39,7 @@ _WINDOWS = {
 
 def strip_expr(c: Column) -> Column:
     """Drop white space (all of Unicode's, not only blanks) at both ends."""
-    return F.regexp_replace(c, _EDGE_WS, "")
+    return F.btrim(c, F.lit(_WS_CHARACTERS))
 
 
 def squash_ws_expr(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,11 +10,25 @@ from pagecat import rules
 from pagecat.schemas import EMBEDDED_DOC, FILESET_MAP
 
 
-def document_text_expr(html: Column) -> Column:
-    """Body of the document's script tag, null if there is none. Plain byte search, no pattern."""
-    after = F.split_part(html, F.lit(rules.DOCUMENT_OPEN), F.lit(2))
-    text = F.substring_index(after, rules.DOCUMENT_CLOSE, 1)
-    return F.when(after.contains(rules.DOCUMENT_CLOSE) & (text != ""), text)
+def document_text(pages: DataFrame) -> DataFrame:
+    """Pages with ``text``, the body of their first document script, in place of the HTML.
+
+    Null where there is none. A byte search from both ends finds the usual single script; only pages
+    that repeat the tag are split by it.
+    """
+    html, opened, closed = F.col("html"), rules.DOCUMENT_OPEN, rules.DOCUMENT_CLOSE
+    kept = [c for c in pages.columns if c != "html"]
+    head, tail, whole = F.octet_length("head"), F.octet_length("tail"), F.octet_length("html")
+    found = F.when(head + tail + len(opened) == whole, F.col("tail")).when(
+        head < whole, F.split_part(html, F.lit(opened), F.lit(2))
+    )
+    cut = (
+        pages.withColumn("head", F.substring_index(html, opened, 1))
+        .withColumn("tail", F.substring_index(html, opened, -1))
+        .select(*kept, found.alias("after"))
+    )
+    text = F.nullif(F.substring_index("after", closed, 1), F.lit(""))
+    return cut.select(*kept, F.when(F.col("after").contains(closed), text).alias("text"))
 
 
 def embedded_json(pages: DataFrame, schema: T.StructType = EMBEDDED_DOC) -> DataFrame:
@@ -24,7 +38,7 @@ def embedded_json(pages: DataFrame, schema: T.StructType = EMBEDDED_DOC) -> Data
     The schema names only what is read; pass a smaller one to parse less.
     """
     kept = [c for c in pages.columns if c != "html"]
-    return pages.select(*kept, F.from_json(document_text_expr(F.col("html")), schema).alias("doc"))
+    return document_text(pages).select(*kept, F.from_json("text", schema).alias("doc"))
 
 
 def dataset_node(docs: DataFrame) -> DataFrame:

@@ -36,34 +36,38 @@ def filesets(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _file(kind: str):
-    def entry(item: Column) -> Column:
-        name = file_name_expr(item["url"])
-        size = F.coalesce(item["bytes"], F.lit(0).cast("bigint"))
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            F.coalesce(item["title"], F.lit("")).alias("file_title"),
-            file_type_expr(name).alias("file_type"),
-            name.alias("filename"),
-            human_size_expr(size).alias("size"),
-            size.alias("size_bytes"),
-            F.coalesce(item["md5sum"], F.lit("")).alias("md5sum"),
-            item["url"].alias("url"),
-        )
-
-    return entry
-
-
 def _entries(inputs: Column, outputs: Column) -> Column:
     """Inputs then outputs of one set, those without a url dropped."""
 
     def side(items: Column, kind: str) -> Column:
-        with_url = F.filter(items, lambda item: F.coalesce(item["url"], F.lit("")) != "")
-        return F.coalesce(F.transform(with_url, _file(kind)), F.array().cast(_ENTRIES))
+        named = F.transform(
+            F.filter(items, lambda item: F.coalesce(item["url"], F.lit("")) != ""),
+            lambda item: F.struct(
+                F.lit(kind).alias("kind"),
+                item.alias("item"),
+                file_name_expr(item["url"]).alias("name"),
+                F.coalesce(item["bytes"], F.lit(0).cast("bigint")).alias("bytes"),
+            ),
+        )
+        return F.coalesce(F.transform(named, _file), F.array().cast(_ENTRIES))
 
     return F.concat(side(inputs, "input"), side(outputs, "output"))
 
 
+def _file(entry: Column) -> Column:
+    item = entry["item"]
+    return F.struct(
+        entry["kind"].alias("kind"),
+        F.coalesce(item["title"], F.lit("")).alias("file_title"),
+        file_type_expr(entry["name"]).alias("file_type"),
+        entry["name"].alias("filename"),
+        human_size_expr(entry["bytes"]).alias("size"),
+        entry["bytes"].alias("size_bytes"),
+        F.coalesce(item["md5sum"], F.lit("")).alias("md5sum"),
+        item["url"].alias("url"),
+    )
+
+
 _ENTRIES = f"array<struct<kind:string,{','.join(f'{f.name}:{f.dataType.simpleString()}' for f in FILE)}>>"
 
 

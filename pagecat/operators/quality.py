@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagecat.functions.numbers import round_one_digit_expr
 from pagecat.functions.values import filled_expr
 from pagecat.schemas import BASE_FIELDS
 
 
 def _rate(filled, total):
     percent = filled.cast("double") / total.cast("double") * 100
-    return F.when(total == 0, F.lit(0.0)).otherwise(F.bround(percent, 1))
+    return F.when(total == 0, F.lit(0.0)).otherwise(round_one_digit_expr(percent))
 
 
 def field_completion(df: DataFrame, fields: list[str] | None = None) -> DataFrame:
@@ -29,12 +30,12 @@ def field_completion(df: DataFrame, fields: list[str] | None = None) -> DataFram
                 F.lit(name).alias("field"),
                 F.col(name).alias("filled"),
                 F.col("_total").alias("total"),
-                _rate(F.col(name), F.col("_total")).alias("completion_rate"),
             )
             for name in sorted(names)
         )
     )
-    return wide.select(F.inline(entries))
+    rows = wide.select(F.inline(entries))
+    return rows.withColumn("completion_rate", _rate(F.col("filled"), F.col("total")))
 
 
 def _as_text(name: str, dtype: T.DataType):

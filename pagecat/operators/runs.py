@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagecat import rules
+from pagecat.functions.numbers import ratio_text_expr
 
 
 def stage_timestamps(events: DataFrame) -> DataFrame:
@@ -43,11 +42,10 @@ def run_outcome(stages: DataFrame) -> DataFrame:
 
 
 def stage_durations(events: DataFrame) -> DataFrame:
-    """Wall time of every stage run as text, two digits, ties to even."""
+    """Wall time of every stage run as text, two digits."""
     def micros(name: str) -> Column:
         return F.unix_micros(F.col(name).cast("timestamp"))
 
-    exact = (micros("end_time") - micros("start_time")).cast("decimal(20,0)")
-    seconds = F.bround(exact * F.lit(Decimal("0.000001")), 2)
-    text = F.concat(seconds.cast("string"), F.lit("s"))
+    seconds = ratio_text_expr(micros("end_time") - micros("start_time"), 1_000_000)
+    text = F.concat(seconds, F.lit("s"))
     return events.withColumn("duration", text)

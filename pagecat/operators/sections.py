@@ -24,42 +24,46 @@ def _section_of(first_line: Column, headers: Headers) -> Column:
     )
 
 
-def section_lines_expr(body: Column, headers: Headers = rules.SECTION_HEADERS) -> Column:
-    """Lines of known sections: array of (pos, section, line), pos counted over the whole body.
+def _pieces(body: Column, headers: Headers) -> Column:
+    """The body cut before every header line: array of (section, text).
 
-    The body is cut before every header line, so each piece has one section and no state is
-    carried from line to line.
+    Each piece has one section, so no state is carried from line to line.
     """
     starts = "|".join(re.escape(prefix) for prefix, _ in headers)
-    pieces = F.transform(
+    return F.transform(
         F.split(body, rf"(?U)\n(?=[[\s\x1C-\x1F]&&[^\n]]*(?:{starts}))"),
         lambda piece: F.struct(
             _section_of(strip_expr(F.substring_index(piece, "\n", 1)), headers).alias("section"),
-            F.split(piece, "\n").alias("lines"),
+            piece.alias("text"),
         ),
     )
+
+
+def section_lines_expr(body: Column, headers: Headers = rules.SECTION_HEADERS) -> Column:
+    """Lines of known sections: array of (pos, section, line), pos counted over the whole body."""
     lines = F.flatten(
         F.transform(
-            pieces,
+            _pieces(body, headers),
             lambda piece: F.transform(
-                piece["lines"],
+                F.split(piece["text"], "\n"),
                 lambda line, j: F.struct(
-                    piece["section"].alias("section"), line.alias("line"), (j > 0).alias("inside")
+                    F.when(j > 0, piece["section"]).alias("section"), line.alias("line")
                 ),
             ),
         )
     )
     numbered = F.transform(
         lines,
-        lambda line, i: F.struct(
-            i.alias("pos"),
-            line["section"].alias("section"),
-            strip_expr(line["line"]).alias("line"),
-            line["inside"].alias("inside"),
+        lambda line, i: F.when(
+            line["section"].isNotNull(),
+            F.struct(
+                i.alias("pos"),
+                line["section"].alias("section"),
+                strip_expr(line["line"]).alias("line"),
+            ),
         ),
     )
-    known = F.filter(numbered, lambda line: line["section"].isNotNull() & line["inside"])
-    return F.transform(known, lambda line: line.dropFields("inside"))
+    return F.filter(numbered, lambda line: line.isNotNull())
 
 
 def body_sections(
@@ -133,23 +137,42 @@ def body_fields_expr(body: Column) -> Column:
     """The imaging fields of a body as (field, value) candidates in line order.
 
     A line of a text section stands for that section's own field; an imaging line goes by its key.
+    Each step is a transform of its own, so a key is cut out once and then tested by every rule.
     """
-    lines = section_lines_expr(body)
+    known = F.filter(
+        _pieces(body, rules.SECTION_HEADERS), lambda piece: piece["section"].isNotNull()
+    )
 
-    def candidate(entry: Column) -> Column:
-        line = entry["line"]
+    def lines_of(piece: Column) -> Column:
+        lines = F.split(piece["text"], "\n")
+        useful = F.filter(
+            F.slice(lines, 2, F.size(lines)),
+            lambda line: line.contains(":") | (piece["section"] != "imaging"),
+        )
+        return F.transform(
+            useful,
+            lambda line: F.struct(
+                piece["section"].alias("section"), strip_expr(line).alias("line")
+            ),
+        )
+
+    def with_key(entry: Column) -> Column:
         imaging = entry["section"] == "imaging"
-        pair = imaging & line.contains(":")
-        field = F.when(pair, _field_of(_key_text(line), rules.IMAGING_RULES)).when(
-            ~imaging, entry["section"]
+        return F.struct(
+            entry["section"].alias("section"),
+            F.when(imaging, _key_text(entry["line"])).alias("key"),
+            F.when(imaging, _value_text(entry["line"])).otherwise(entry["line"]).alias("value"),
         )
-        value = F.when(pair, _value_text(line)).otherwise(line)
-        return F.struct(field.alias("field"), value.alias("value"), imaging.alias("imaging"))
 
-    return F.filter(
-        F.transform(lines, candidate),
-        lambda c: c["field"].isNotNull() & (c["value"] != "") & ~(c["imaging"] & (c["value"] == "N/A")),
-    )
+    def with_field(entry: Column) -> Column:
+        field = F.when(entry["key"].isNull(), entry["section"]).otherwise(
+            _field_of(entry["key"], rules.IMAGING_RULES)
+        )
+        blank = (entry["value"] == "") | (entry["key"].isNotNull() & (entry["value"] == "N/A"))
+        return F.when(~blank, F.struct(field.alias("field"), entry["value"].alias("value")))
+
+    steps = F.transform(F.flatten(F.transform(known, lines_of)), with_key)
+    return F.filter(F.transform(steps, with_field), lambda c: c["field"].isNotNull())
 
 
 def first_value_expr(candidates: Column, field: str) -> Column:

@@ -200,8 +200,12 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag",
         "l_linestatus",
     ]
+    # Lines are small and pages large: keep every shuffle partition, so that pages are built and read
+    # by all tasks.
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lines = (
         table(spark, sf_dir, "lineitem")
+        .repartition(partitions, "l_orderkey")
         .groupBy("l_orderkey")
         .agg(F.array_sort(F.collect_list(F.struct(*line_fields))).alias("lines"))
     )
