@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagecat.functions.values import date_published_expr, donor_count_expr
@@ -43,30 +43,40 @@ def date_published(nodes: DataFrame) -> DataFrame:
     )
 
 
-def page_fields(pages: DataFrame) -> DataFrame:
-    """(dataset_url, has_doc, fifteen fields) of every page, without leaving the page's row."""
+def document_fields(docs: DataFrame) -> DataFrame:
+    """Documents with ``has_doc`` and the fifteen fields beside ``doc``, inside the page's row."""
     node = F.col("doc.props.pageProps.dataset")
-    docs = embedded_json(
-        pages.select(F.col("url").alias("dataset_url"), "html"), embedded_doc(filesets=False)
-    ).select(
-        "dataset_url",
+    kept = docs.columns
+    # A step of its own: nine fields read the candidates, which are worked out once.
+    with_candidates = docs.withColumn("candidates", body_fields_expr(node["body"]))
+    return with_candidates.select(
+        *kept,
         F.col("doc.props").isNotNull().alias("has_doc"),
-        node.alias("dataset"),
-        body_fields_expr(node["body"]).alias("candidates"),
-    )
-    return docs.select(
-        "dataset_url",
-        "has_doc",
         *(first_value_expr(F.col("candidates"), field).alias(field) for field in IMAGING_FIELDS),
         *(
-            F.coalesce(F.array_join(F.col("dataset")[source], ", "), F.lit("")).alias(field)
+            F.coalesce(F.array_join(node[source], ", "), F.lit("")).alias(field)
             for field, source in SAMPLE_LISTS.items()
         ),
-        donor_count_expr(F.col("dataset.donorCount")).alias("donor_count"),
-        date_published_expr(F.col("dataset.publishedAt")).alias("date_published"),
+        donor_count_expr(node["donorCount"]).alias("donor_count"),
+        date_published_expr(node["publishedAt"]).alias("date_published"),
     )
 
 
+def page_fields(pages: DataFrame) -> DataFrame:
+    """(dataset_url, has_doc, fifteen fields) of every page."""
+    read = pages.select(F.col("url").alias("dataset_url"), "html")
+    return document_fields(embedded_json(read, embedded_doc(filesets=False))).drop("doc")
+
+
+def filled_fields() -> list[Column]:
+    """The fifteen fields after a left join: '' where there was no page."""
+    return [F.coalesce(field, F.lit("")).alias(field) for field in NEW_FIELDS]
+
+
+def outcome_expr() -> Column:
+    return F.when(F.col("has_doc").isNull(), "failed").otherwise("ok")
+
+
 def enrich(records: DataFrame, pages: DataFrame) -> DataFrame:
     """Every record unchanged, plus the fifteen fields ('' by default) and the outcome.
 
@@ -78,6 +88,6 @@ def enrich(records: DataFrame, pages: DataFrame) -> DataFrame:
     joined = lookup_join(records, fields, "dataset_url")
     return joined.select(
         *records.columns,
-        *(F.coalesce(field, F.lit("")).alias(field) for field in NEW_FIELDS),
-        F.when(F.col("has_doc").isNull(), "failed").otherwise("ok").alias("outcome"),
+        *filled_fields(),
+        outcome_expr().alias("outcome"),
     )

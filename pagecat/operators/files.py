@@ -80,16 +80,20 @@ def explode_files(sets: DataFrame) -> DataFrame:
     )
 
 
+def files_expr(fileset_map: Column) -> Column:
+    """All files of a fileset map as one ordered array, with their kinds."""
+    return F.flatten(
+        F.transform(
+            _used_sets(fileset_map), lambda s: _entries(s["value"]["inputs"], s["value"]["outputs"])
+        )
+    )
+
+
 def page_files(pages: DataFrame) -> DataFrame:
     """(dataset_url, files) of every page, nested in order without leaving the page's row."""
-    docs = embedded_json(
-        pages.select(F.col("url").alias("dataset_url"), "html"), embedded_doc(dataset=False)
-    )
-    sets = docs.select(
-        "dataset_url", _used_sets(F.col("doc.props.pageProps.filesetMap")).alias("sets")
-    )
-    per_set = F.transform("sets", lambda s: _entries(s["value"]["inputs"], s["value"]["outputs"]))
-    return sets.select("dataset_url", F.flatten(per_set).alias("files"))
+    read = pages.select(F.col("url").alias("dataset_url"), "html")
+    docs = embedded_json(read, embedded_doc(dataset=False))
+    return docs.select("dataset_url", files_expr(F.col("doc.props.pageProps.filesetMap")).alias("files"))
 
 
 def nest_files(flat: DataFrame, key: str = "dataset_url") -> DataFrame:
@@ -111,18 +115,20 @@ def attach_files(records: DataFrame, files: DataFrame) -> DataFrame:
     prefer = F.struct(F.coalesce(F.size("files"), F.lit(0)), F.xxhash64("files"))
     best = one_per_key(nested.select("dataset_url", "files"), "dataset_url", prefer)
     joined = lookup_join(records.drop("files"), best, "dataset_url")
+    return joined.select(*[c for c in records.columns if c != "files"], *file_columns())
+
+
+def file_columns() -> list[Column]:
+    """Files without their kind, their count, and the status by it, after a left join."""
     plain = F.transform("files", lambda f: f.dropFields("kind"))
-    found = F.coalesce(F.size("files"), F.lit(0))
-    count = F.when(found > 0, found).otherwise(0)
-    return joined.select(
-        *[c for c in records.columns if c != "files"],
+    count = F.coalesce(F.size("files"), F.lit(0))
+    found = F.when(count > 0, count).otherwise(0)
+    status = F.when(found >= 2, "success").when(found == 1, "partial").otherwise("failed")
+    return [
         F.coalesce(plain, F.array().cast(f"array<{FILE.simpleString()}>")).alias("files"),
-        count.alias("files_found_count"),
-        F.when(count >= 2, "success")
-        .when(count == 1, "partial")
-        .otherwise("failed")
-        .alias("file_extraction_status"),
-    )
+        found.alias("files_found_count"),
+        status.alias("file_extraction_status"),
+    ]
 
 
 def file_stats(files: DataFrame, filed: DataFrame) -> DataFrame:

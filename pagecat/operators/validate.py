@@ -145,16 +145,30 @@ def detect_fields(texts: DataFrame, text: str, by_field: dict = PAGE_RULES) -> D
     )
 
 
-def extract_page_fields(pages: DataFrame) -> DataFrame:
-    """What a page says of its dataset: (dataset_url, dataset_name, species, …), one row per url."""
-    read = pages.select(
-        F.col("url").alias("dataset_url"),
-        page_heading_expr(F.col("html")).alias("dataset_name"),
-        F.lower(visible_text_expr(F.col("html"))).alias("text"),
+def told_by_page(pages: DataFrame) -> DataFrame:
+    """Pages with ``page``: the struct of what each says of its dataset."""
+    kept = pages.columns
+    read = pages.withColumns(
+        {
+            "dataset_name": page_heading_expr(F.col("html")),
+            "text": F.lower(visible_text_expr(F.col("html"))),
+        }
     )
-    fields = detect_fields(read, "text").select("dataset_url", *_PAGE_FIELDS)
-    filled = sum((F.when(F.col(f) != "", 1).otherwise(0) for f in _PAGE_FIELDS), F.lit(0))
-    return one_per_key(fields, "dataset_url", F.struct(filled, F.xxhash64(*_PAGE_FIELDS)))
+    return detect_fields(read, "text").select(*kept, F.struct(*_PAGE_FIELDS).alias("page"))
+
+
+def filled_count_expr(page: Column) -> Column:
+    return sum((F.when(page[f] != "", 1).otherwise(0) for f in _PAGE_FIELDS), F.lit(0))
+
+
+def extract_page_fields(pages: DataFrame) -> DataFrame:
+    """What a page says of its dataset: (dataset_url, dataset_name, species, …), one row per url.
+
+    Of several copies of a page the one that says most is taken.
+    """
+    told = told_by_page(pages.select(F.col("url").alias("dataset_url"), "html"))
+    prefer = F.struct(filled_count_expr(F.col("page")), F.xxhash64("page"))
+    return one_per_key(told.drop("html"), "dataset_url", prefer).select("dataset_url", "page.*")
 
 
 def _mismatch(method: str, scraped: Column, actual: Column) -> Column:
@@ -168,18 +182,16 @@ def _mismatch(method: str, scraped: Column, actual: Column) -> Column:
     return ~(b.contains(a) | a.contains(b))
 
 
-def compare_fields(records: DataFrame, page_fields: DataFrame) -> DataFrame:
-    """Records with their differences from the page; no page gives a single page_load entry.
+def compared_columns(page: str) -> list[Column]:
+    """``has_page`` and ``differences`` of a record joined with the struct its page tells.
 
-    Fields the page does not tell are skipped.
+    Fields the page does not tell are skipped; no page gives a single page_load entry.
     """
-    actual = page_fields.select("dataset_url", F.struct(*_PAGE_FIELDS).alias("_page"))
-    joined = lookup_join(records, actual, "dataset_url")
     nothing = F.lit(None).cast("string")
 
     def difference(field: str, method: str) -> Column:
         scraped = strip_expr(F.coalesce(field, F.lit("")))
-        found = strip_expr(F.col("_page")[field])
+        found = strip_expr(F.col(page)[field])
         severity = "error" if method == "exact" else "warning"
         entry = F.struct(
             F.lit(field).alias("field"),
@@ -202,15 +214,19 @@ def compare_fields(records: DataFrame, page_fields: DataFrame) -> DataFrame:
             F.lit("page not found").alias("message"),
         )
     )
-    has_page = F.col("_page").isNotNull()
-    return joined.select(
-        *records.columns,
+    has_page = F.col(page).isNotNull()
+    differences = F.when(has_page, compared).otherwise(no_page)
+    return [
         has_page.alias("has_page"),
-        F.when(has_page, compared)
-        .otherwise(no_page)
-        .cast(f"array<{DIFFERENCE.simpleString()}>")
-        .alias("differences"),
-    )
+        differences.cast(f"array<{DIFFERENCE.simpleString()}>").alias("differences"),
+    ]
+
+
+def compare_fields(records: DataFrame, page_fields: DataFrame) -> DataFrame:
+    """Records with their differences from their pages (one row of fields per url)."""
+    told = page_fields.select("dataset_url", F.struct(*_PAGE_FIELDS).alias("_page"))
+    joined = lookup_join(records, told, "dataset_url")
+    return joined.select(*records.columns, *compared_columns("_page"))
 
 
 def url_status(compared: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pagecat.functions import urls
 from pagecat.functions.text import label_by_line_expr, page_heading_expr, squash_ws_expr
 from pagecat.functions.values import stage_status_expr
 from pagecat.operators import embedded, enrich, files, listing, quality, runs, sections, validate
-from pagecat.plans import fixtures
+from pagecat.plans import fixtures, flow
 from pagecat.session import scratch_path, tune
 from pagecat.sources import io
 from pagecat.streaming import ingest
@@ -290,8 +290,7 @@ def _stored_entries(spark, d):
 
 def stop_rule(spark, d):
     entries = _stored_entries(spark, d)
-    first = listing.dedup_first_seen(listing.listing_records(entries))
-    return listing.apply_stop_rule(first, entries)
+    return flow.crawl_records(entries)
 
 
 def page_stats(spark, d):
@@ -577,11 +576,13 @@ def issues_only(spark, d):
 # ---- quality ---------------------------------------------------------------------------------
 
 
+def _checked_catalogue(spark, d):
+    return flow.catalogue(fixtures.order_records(spark, d), fixtures.detail_pages(spark, d))
+
+
 def _catalogue(spark, d):
     """Enriched records with their files."""
-    pages = fixtures.detail_pages(spark, d)
-    records = enrich.enrich(fixtures.order_records(spark, d), pages)
-    return files.attach_files(records, files.page_files(pages)).drop("outcome")
+    return _checked_catalogue(spark, d).drop("outcome", "differences", "status")
 
 
 def field_completion(spark, d):
@@ -634,9 +635,7 @@ def stream_ingest(spark, d):
 
 def catalogue_flow(spark, d):
     """Records, enriched, with files, checked against their pages: status of every record."""
-    filed = _catalogue(spark, d)
-    page_fields = validate.extract_page_fields(fixtures.detail_pages(spark, d))
-    checked = validate.url_status(validate.compare_fields(filed, page_fields))
+    checked = _checked_catalogue(spark, d)
     return checked.select(
         "dataset_url",
         "microscope",

@@ -19,6 +19,10 @@ RUNTIME_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Settings only a new session takes. Operators build large expressions, and recording a call site
+# for each part costs seconds per query.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings above to a running session; partition counts stay the cluster's."""
