@@ -36,7 +36,7 @@ def _elements(html: Column, tag: str) -> Column:
 
 def links_expr(html: Column) -> Column:
     """Every anchor: array of (href, inner), in page order; href is '' where there is none."""
-    pieces = F.split(html, r"(?i)<a(?=\s)")
+    pieces = F.split(html, r"(?i)<a(?=[\s>])")
     anchors = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
 
     def link(piece: Column) -> Column:
