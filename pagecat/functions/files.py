@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagecat.functions.numbers import ratio_text_expr
-from pagecat.functions.text import strip_expr
+from pagecat.functions.text import let, strip_expr
 
 # Fixed value: a size as people write it, at the start of a text.
 _SIZE = r"(?i)^([0-9.]+)\s*([KMGT]?B)"
@@ -50,20 +50,29 @@ def parse_size_expr(text: Column) -> Column:
 
     Sizes past the range of a bigint count as no size.
     """
+    def parts(clean: Column) -> Column:
+        return F.struct(
+            clean.alias("text"),
+            F.regexp_extract(clean, _SIZE, 1).try_cast("double").alias("value"),
+            F.upper(F.regexp_extract(clean, _SIZE, 2)).alias("unit"),
+        )
+
+    def in_bytes(part: Column) -> Column:
+        factor = F.lit(1.0)
+        for power, unit in enumerate(("KB", "MB", "GB", "TB"), 1):
+            factor = F.when(part["unit"] == unit, 1024.0**power).otherwise(factor)
+        size = (part["value"] * factor).try_cast("bigint")
+        return F.struct(part["text"].alias("text"), size.alias("size"))
+
+    def result(sized: Column) -> Column:
+        size = sized["size"]
+        human = F.when(size.isNull(), sized["text"]).otherwise(_binary_size_expr(size))
+        return F.struct(
+            human.alias("human"), F.coalesce(size, F.lit(0).cast("bigint")).alias("bytes")
+        )
+
     clean = F.replace(strip_expr(text), F.lit(","), F.lit(""))
-    value = F.regexp_extract(clean, _SIZE, 1).try_cast("double")
-    unit = F.upper(F.regexp_extract(clean, _SIZE, 2))
-    factor = (
-        F.when(unit == "KB", 1024.0)
-        .when(unit == "MB", 1024.0**2)
-        .when(unit == "GB", 1024.0**3)
-        .when(unit == "TB", 1024.0**4)
-        .otherwise(1.0)
-    )
-    size = (value * factor).try_cast("bigint")
-    known = F.struct(_binary_size_expr(size).alias("human"), size.alias("bytes"))
-    unknown = F.struct(clean.alias("human"), F.lit(0).cast("bigint").alias("bytes"))
-    return F.when(size.isNotNull(), known).otherwise(unknown)
+    return let(let(let(clean, parts), in_bytes), result)
 
 
 def classify_file_expr(title: Column, name: Column) -> Column:

@@ -15,16 +15,20 @@ _WS_RUN = rf"(?U){WS}+"
 _WS_CHARACTERS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 # The rest of a tag after its name: quoted values may hold '>'. Possessive: no backtracking.
+# Patterns start with a plain '<', which skips text fastest.
 TAG_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
-_NO_CONTENT = r"(?is)<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>"
-_HEAD = r"(?is)<head\b.*?</head\s*>"
+_UNSEEN = r"(?s)<(?:!--.*?-->|(?i:(script|style|noscript|template{head})\b.*?</\1\s*>))"
+_NO_CONTENT = _UNSEEN.format(head="")
+_NO_CONTENT_OR_HEAD = _UNSEEN.format(head="|head")
 _BREAKS = (
-    r"(?i)</?(?:address|article|aside|blockquote|body|br|caption|dd|details|dialog|div|dl|dt|"
+    r"</?(?i:address|article|aside|blockquote|body|br|caption|dd|details|dialog|div|dl|dt|"
     r"fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|legend|li|main|menu|nav|ol|p|"
     rf"pre|section|summary|table|tbody|tfoot|thead|tr|ul)\b{TAG_REST}"
 )
-_CELLS = rf"(?i)</?t[dh]\b{TAG_REST}"
+_CELLS = rf"</?(?i:t[dh])\b{TAG_REST}"
 _TAGS = rf"<[A-Za-z/!?]{TAG_REST}"
+# Stands for a line break while white space of the source still is in the text.
+_MARK = "\x01"
 
 _ENTITY = r"^(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 _COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": " "}
@@ -37,6 +41,16 @@ _WINDOWS = {
 }
 
 
+def let(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` worked out once, however often it is used."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def rest_expr(pieces: Column) -> Column:
+    """All elements but the first. (A length past any array's end, so it is named only once.)"""
+    return F.slice(pieces, 2, 1_000_000_000)
+
+
 def strip_expr(c: Column) -> Column:
     """Drop white space (all of Unicode's, not only blanks) at both ends."""
     return F.btrim(c, F.lit(_WS_CHARACTERS))
@@ -86,7 +100,12 @@ def unescape_expr(c: Column) -> Column:
             found != "", F.coalesce(decoded, F.concat(F.lit("&"), piece))
         ).otherwise(F.concat(F.lit("&"), piece))
 
-    return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, "&"), decode), "")).otherwise(c)
+    return let(
+        c,
+        lambda text: F.when(
+            text.contains("&"), F.array_join(F.transform(F.split(text, "&"), decode), "")
+        ).otherwise(text),
+    )
 
 
 def drop_unseen_expr(html: Column) -> Column:
@@ -108,12 +127,12 @@ def page_heading_expr(html: Column) -> Column:
 
 def visible_text_expr(html: Column) -> Column:
     """Visible text of a page: one line per block, white space collapsed, entities decoded."""
-    body = F.regexp_replace(drop_unseen_expr(html), _HEAD, "")
-    one_line = F.regexp_replace(body, _WS_RUN, " ")
-    lines = F.regexp_replace(F.regexp_replace(one_line, _BREAKS, "\n"), _CELLS, " ")
-    text = unescape_expr(F.regexp_replace(lines, _TAGS, ""))
-    blanks = F.regexp_replace(text, r"(?U)[\s&&[^\n]]+", " ")
-    return strip_expr(F.regexp_replace(blanks, r" ?\n[ \n]*", "\n"))
+    body = F.regexp_replace(html, _NO_CONTENT_OR_HEAD, "")
+    marked = F.regexp_replace(F.regexp_replace(body, _BREAKS, _MARK), _CELLS, " ")
+    text = unescape_expr(F.regexp_replace(marked, _TAGS, ""))
+    one_line = F.regexp_replace(text, _WS_RUN, " ")
+    lines = F.regexp_replace(one_line, f"{_MARK}[ {_MARK}]*", "\n")
+    return strip_expr(F.replace(lines, F.lit(" \n"), F.lit("\n")))
 
 
 def has_any(c: Column, words: list[str]) -> Column:

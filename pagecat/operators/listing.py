@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagecat import rules
-from pagecat.functions.text import TAG_REST, drop_unseen_expr, has_any, inline_text_expr
+from pagecat.functions.text import (
+    TAG_REST,
+    drop_unseen_expr,
+    has_any,
+    inline_text_expr,
+    rest_expr,
+)
 from pagecat.functions.urls import is_dataset_link_expr, resolve_href_expr
 from pagecat.schemas import BASE_FIELDS
 
@@ -22,22 +28,20 @@ _FIRST_TBODY = rf"(?is)<tbody\b{TAG_REST}(.*?)(?:</tbody\b|</table\b|\z)"
 
 
 def _after_tag(name: str) -> str:
-    return rf"(?i)<{name}\b{TAG_REST}"
+    return rf"<(?i:{name})\b{TAG_REST}"
 
 
 def _elements(html: Column, tag: str) -> Column:
     """Contents of every element, in order. End tags may be missing, as HTML allows."""
-    pieces = F.split(html, _after_tag(tag))
     return F.transform(
-        F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))),
-        lambda piece: F.get(F.split(piece, rf"(?i)</{tag}\b", 2), F.lit(0)),
+        rest_expr(F.split(html, _after_tag(tag))),
+        lambda piece: F.get(F.split(piece, rf"</(?i:{tag})\b", 2), F.lit(0)),
     )
 
 
 def links_expr(html: Column) -> Column:
     """Every anchor: array of (href, inner), in page order; href is '' where there is none."""
-    pieces = F.split(html, r"(?i)<a(?=[\s>])")
-    anchors = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    anchors = rest_expr(F.split(html, r"<[aA](?=[\s>])"))
 
     def link(piece: Column) -> Column:
         attributes = F.regexp_extract(piece, rf"^{TAG_REST}", 0)

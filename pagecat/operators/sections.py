@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagecat import rules
-from pagecat.functions.text import has_any, strip_expr
+from pagecat.functions.text import has_any, rest_expr, strip_expr
 
 Headers = list[tuple[str, str | None]]
 KeyRules = list[tuple[str, list[str]]]
@@ -144,9 +144,8 @@ def body_fields_expr(body: Column) -> Column:
     )
 
     def lines_of(piece: Column) -> Column:
-        lines = F.split(piece["text"], "\n")
         useful = F.filter(
-            F.slice(lines, 2, F.size(lines)),
+            rest_expr(F.split(piece["text"], "\n")),
             lambda line: line.contains(":") | (piece["section"] != "imaging"),
         )
         return F.transform(
