@@ -97,12 +97,16 @@ def page_files(pages: DataFrame) -> DataFrame:
 
 
 def nest_files(flat: DataFrame, key: str = "dataset_url") -> DataFrame:
-    """Rows of ``explode_files`` back to one ordered array per page."""
-    entry = F.struct("set_pos", "file_pos", "kind", *FILE_NAMES)
-    in_order = F.array_sort(F.collect_list(entry))
-    return flat.groupBy(key).agg(
-        F.transform(in_order, lambda e: e.dropFields("set_pos", "file_pos")).alias("files")
+    """Rows of ``explode_files`` back to one ordered array per page.
+
+    Copies of a page repeat its places; each place is reduced to one file before the shuffle, so an
+    array never holds more than one page's list.
+    """
+    places = flat.groupBy(key, "set_pos", "file_pos").agg(
+        F.max(F.struct("kind", *FILE_NAMES)).alias("file")
     )
+    in_order = F.array_sort(F.collect_list(F.struct("set_pos", "file_pos", "file")))
+    return places.groupBy(key).agg(F.transform(in_order, lambda e: e["file"]).alias("files"))
 
 
 def attach_files(records: DataFrame, files: DataFrame) -> DataFrame:
