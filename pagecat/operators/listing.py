@@ -17,6 +17,7 @@ from pagecat.functions.text import (
 )
 from pagecat.functions.urls import is_dataset_link_expr, resolve_href_expr
 from pagecat.schemas import BASE_FIELDS
+from pagecat.session import stage
 
 METADATA = [f for f in BASE_FIELDS if f not in ("dataset_name", "dataset_url")]
 ORDER = ["run", "page_num", "pos"]
@@ -117,14 +118,17 @@ def _first_link(cells: Column, include: str, exclude: str) -> Column:
 
 
 def _name_and_url(rows: DataFrame) -> DataFrame:
-    """Rows with a ``link`` -> rows with its text and absolute URL; empty names drop."""
-    return (
-        rows.where(F.col("link").isNotNull())
-        .withColumn("dataset_name", inline_text_expr(F.col("link.inner")))
-        .withColumn("dataset_url", resolve_href_expr(F.col("url"), F.col("link.href")))
-        .drop("link")
-        .where(F.col("dataset_name") != "")
+    """Rows with a ``link`` -> rows with its text and absolute URL; empty names drop.
+
+    The empty ones go by a generator, not a filter: a filter would be pushed below the projection and
+    work every text out twice.
+    """
+    kept = [c for c in rows.columns if c != "link"]
+    named = F.struct(
+        inline_text_expr(F.col("link.inner")).alias("dataset_name"),
+        resolve_href_expr(F.col("url"), F.col("link.href")).alias("dataset_url"),
     )
+    return rows.select(*kept, F.inline(F.filter(F.array(named), lambda r: r["dataset_name"] != "")))
 
 
 def row_link(
@@ -306,7 +310,8 @@ def page_stats(rows: DataFrame, pages: DataFrame, block: int = 1024) -> DataFram
     The total is summed within blocks of pages, then over the blocks, so no task sorts more than
     ``block`` pages of a run, or its blocks.
     """
-    counts = new_per_page(rows, pages).withColumn("block", F.expr(f"page_num div {block}"))
+    per_page = stage(new_per_page(rows, pages), "page-counts")
+    counts = per_page.withColumn("block", F.expr(f"page_num div {block}"))
     within = Window.partitionBy("run", "block").orderBy("page_num")
     blocks = counts.groupBy("run", "block").agg(F.sum("new_records").alias("in_block"))
     before = Window.partitionBy("run").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

@@ -21,13 +21,17 @@ from pagecat.operators.validate import (
     told_by_page,
     url_status,
 )
+from pagecat.session import stage
 
 
 def crawl_records(
     entries: DataFrame, include: str = rules.DATASET_LINK, exclude: str = rules.LISTING_LINK
 ) -> DataFrame:
-    """Stored listing entries to the records a crawl would have kept."""
-    first = dedup_first_seen(listing_records(entries, include, exclude))
+    """Stored listing entries to the records a crawl would have kept.
+
+    The first-seen records are written once: the stop rule counts them before it cuts them.
+    """
+    first = stage(dedup_first_seen(listing_records(entries, include, exclude)), "first-seen")
     return apply_stop_rule(first, entries)
 
 

@@ -16,7 +16,7 @@ from pagecat.functions.text import label_by_line_expr, page_heading_expr, squash
 from pagecat.functions.values import stage_status_expr
 from pagecat.operators import embedded, enrich, files, listing, quality, runs, sections, validate
 from pagecat.plans import fixtures, flow
-from pagecat.session import scratch_path, tune
+from pagecat.session import scratch_path, stage, tune
 from pagecat.sources import io
 from pagecat.streaming import ingest
 
@@ -283,9 +283,7 @@ def dedup_first_seen(spark, d):
 
 def _stored_entries(spark, d):
     """Parsed once and written, as dedup and stop rule both read it."""
-    path = scratch_path(spark, "entries")
-    _entries(spark, d).write.parquet(path)
-    return spark.read.parquet(path)
+    return stage(_entries(spark, d), "entries")
 
 
 def stop_rule(spark, d):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. Time zone: dates and timestamps are compared as text in UTC.
 # Skew join: a join whose two sides are plain shuffles splits a hot partition at run time.
@@ -44,3 +44,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/pagecat-{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that later steps read more than once, and read it back.
+
+    The plan behind it then runs once, and a lost executor costs no more than the table's own files.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -46,10 +46,10 @@ def test_layouts(spark, source, expected):
 
 
 def test_worked_examples(spark):
-    name = "Visium HD Spatial Gene Expression Library, Human Pancreas (FFPE)"
+    name = "Spatial Gene Expression Library, Human Pancreas (FFPE)"
     source = table(
-        row("", "HD Spatial Gene Expression v1.0", "Human", "Pancreas", "N/A", "FFPE", href="/datasets/pancreas-4", name=name),
-        row("", "HD Spatial Gene Expression v1.0", "Human", "Breast", "N/A", "Fresh Frozen", href="/datasets/breast-4", name="B"),
+        row("", "Spatial Gene Expression v1.0", "Human", "Pancreas", "N/A", "FFPE", href="/datasets/pancreas-4", name=name),
+        row("", "Spatial Gene Expression v1.0", "Human", "Breast", "N/A", "Fresh Frozen", href="/datasets/breast-4", name="B"),
     )
     first, second = records_of(spark, source)
     assert first == {
@@ -58,7 +58,7 @@ def test_worked_examples(spark):
         "pos": 0,
         "dataset_name": name,
         "dataset_url": "https://example.com/datasets/pancreas-4",
-        "product": "HD Spatial Gene Expression v1.0",
+        "product": "Spatial Gene Expression v1.0",
         "species": "Human",
         "sample_type": "Pancreas",
         "cells_or_nuclei": "N/A",
