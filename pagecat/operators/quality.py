@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pagecat.functions.numbers import round_one_digit_expr
 from pagecat.functions.values import filled_expr
 from pagecat.schemas import BASE_FIELDS
+from pagecat.session import stage
 
 
 def _rate(filled, total):
@@ -48,7 +49,8 @@ def field_statistics(df: DataFrame, field: str | None = None) -> DataFrame:
     """Per field and value: how often it occurs, beside the field's own totals.
 
     One row per distinct value (fields never filled have one row without a value), as values may be
-    as many as records. Lists and structs count by their JSON text.
+    as many as records. Lists and structs count by their JSON text. The counts are written once and
+    read twice.
     """
     if field is not None and field not in df.columns:
         raise KeyError(f"field {field!r} not found; available: {', '.join(df.columns)}")
@@ -63,7 +65,10 @@ def field_statistics(df: DataFrame, field: str | None = None) -> DataFrame:
             for name in names
         )
     )
-    counts = df.select(F.inline(entries)).groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(
+        df.select(F.inline(entries)).groupBy("field", "value").agg(F.count(F.lit(1)).alias("n")),
+        "value-counts",
+    )
     per_field = counts.groupBy("field").agg(
         F.sum("n").cast("bigint").alias("total"),
         F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0))
@@ -99,7 +104,10 @@ def catalog_summary(
             for f in fields
         )
     )
-    values = df.select(F.inline(entries)).groupBy("field", "value").agg(F.count(F.lit(1)).alias("records"))
+    values = stage(
+        df.select(F.inline(entries)).groupBy("field", "value").agg(F.count(F.lit(1)).alias("records")),
+        "catalog-values",
+    )
     total = values.where(F.col("field") == fields[0]).agg(
         F.coalesce(F.sum("records"), F.lit(0)).cast("bigint").alias("total_datasets")
     )

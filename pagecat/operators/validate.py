@@ -14,6 +14,7 @@ from pagecat.functions.text import (
 )
 from pagecat.operators.joins import lookup_join, one_per_key
 from pagecat.schemas import DIFFERENCE
+from pagecat.session import stage
 
 _PAGE_FIELDS = [field for field, _ in rules.COMPARISONS]
 
@@ -340,7 +341,7 @@ def report_view(reports: DataFrame, form: str = "summary") -> DataFrame:
 
 
 def issues_only(results: DataFrame) -> DataFrame:
-    """Results with a problem, and their total on every row."""
-    bad = results.where(F.col("status").isin("mismatched", "warning", "failed"))
+    """Results with a problem, and their total on every row. They are written, then counted."""
+    bad = stage(results.where(F.col("status").isin("mismatched", "warning", "failed")), "issues")
     total = bad.agg(F.count(F.lit(1)).alias("total_issues"))
     return bad.crossJoin(total)  # one row on the right

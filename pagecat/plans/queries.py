@@ -99,7 +99,7 @@ def _consistency(spark, d) -> DataFrame:
 
 def _reports(spark, d) -> DataFrame:
     counts = validate.status_counts(_results(spark, d), ["run"])
-    consistency = _consistency(spark, d)
+    consistency = stage(_consistency(spark, d), "consistency")  # one row, read twice
     coded = validate.exit_code(counts, consistency, fixtures.record_pages(spark, d))
     return validate.validation_report(coded, consistency, F.lit(REPORT_TIME))
 
@@ -132,9 +132,7 @@ def replace_stage(spark, d):
 def latest_report(spark, d):
     """Three reports, each of one run less: every run's newest is another one."""
     path = scratch_path(spark, "reports")
-    whole = scratch_path(spark, "report-rows")
-    _reports(spark, d).write.parquet(whole)
-    reports = spark.read.parquet(whole)
+    reports = stage(_reports(spark, d), "report-rows")
     for day, last in (("2024-01-01", "2"), ("2024-01-02", "1"), ("2024-01-03", "0")):
         io.write_report(reports.where(F.col("run") <= last), path, f"{day}_00-00-00")
     newest = validate.report_view(io.latest_report(spark, path), "full")
