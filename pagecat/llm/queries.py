@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagecat.llm import bpe, counts, language, toxicity
+from pagecat.llm import bpe, counts, decontaminate, html, language, quality, repeats, simhash, toxicity
 from pagecat.llm.common import fold, table
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.kept_texts(table(spark, sf_dir, "documents"), digest_only=True)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learned = toxicity.labelled(docs.where(fold(F.col("doc_id"), 5) != 0), table(spark, sf_dir, "labels"))
@@ -19,6 +23,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", "evidence", "spans")
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.detect(docs, fold(F.col("doc_id"), 4) != 2)
@@ -27,6 +35,15 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judged(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *quality.COUNTS[:5], "base_failed", "kept", "reasons")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -35,10 +52,19 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_toxicity": op3_toxicity,
+        "op4_html": op4_html,
         "op5_language": op5_language,
+        "op6_simhash": op6_simhash,
+        "op7_quality": op7_quality,
         "op8_token_counts": op8_token_counts,
         "op9_bpe": op9_bpe,
+        "op10_decontaminate": op10_decontaminate,
     }
