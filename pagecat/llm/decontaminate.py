@@ -93,7 +93,8 @@ def item_windows(docs: DataFrame, items: DataFrame, passes: int) -> DataFrame:
     text = F.col("text")
     rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), words_of(text).alias("words"))
     rows = rows.withColumn("hashes", shingle_hashes("words"))
-    spread = rows.select("doc_id", "text_hash", "words", "hashes", F.posexplode("hashes").alias("at", "h"))
+    # The outer form, as Spark would else test the arrays' sizes first, and work out the words again for it.
+    spread = rows.select("doc_id", "text_hash", "words", "hashes", F.posexplode_outer("hashes").alias("at", "h"))
     found = []
     for k in range(passes):
         some = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k)

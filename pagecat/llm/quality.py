@@ -25,7 +25,7 @@ MARGINS: dict[str, tuple[float | None, float | None]] = {
     "word_length": (1.5, 1.5),
     "symbol_share": (0.1, None),
     "dup_line_share": (0.35, None),
-    "repeat_share": (0.25, None),
+    "repeat_share": (0.45, None),
 }
 # Thresholds lie this many times the distance from the median to the quartile on the calmer side.
 SPREAD = 6.0

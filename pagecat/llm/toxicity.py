@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagecat.llm.common import by_bytes
+from pagecat.llm.common import by_bytes, written
 
 WORDS = re.compile(r"[^\W_]+")
 PREFIXES = (3, 4, 5)
@@ -34,6 +34,8 @@ PRIOR = 50.0
 SIGNIFICANT = 0.1
 # The broadcast model: tokens beyond this many, by least certain log-odds, are left out of the fit.
 MOST_TOKENS = 500_000
+# Labels the fit takes at most (16 bytes each in a broadcast).
+MOST_LABELS = 1_000_000
 BINS = 400
 HIGHEST = 100.0
 
@@ -211,7 +213,8 @@ def _logistic(values: np.ndarray, toxic: np.ndarray, other: np.ndarray) -> tuple
 
 def fit(rows: DataFrame) -> Model:
     """The model from all labelled rows (text, toxic 0/1); texts aren't null."""
-    tokens = token_scores(token_tallies(rows)).orderBy(F.abs("score").desc(), "token").limit(MOST_TOKENS).collect()
+    rows = written(rows, "labelled")  # read three times
+    tokens = token_scores(written(token_tallies(rows), "tallies")).orderBy(F.abs("score").desc(), "token").limit(MOST_TOKENS).collect()
     model = Model({r["token"]: r["score"] for r in tokens}, 1.0, 1.0, -5.0)
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
@@ -290,11 +293,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     )
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> DataFrame:
     """text, toxic of documents with a label of 0 or 1, each text once.
 
+    Beyond ``most`` labels a sample of about that many is taken, by a hash of the id, so that the labels
+    can always be broadcast and the texts stay where they are.
+
     An id or text labelled twice counts as toxic if any label says so.
     """
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    total = marks.count()
+    if total > most:
+        marks = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(1_000_000 * most // total))
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.join(marks, "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    return rows.join(F.broadcast(marks), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
