@@ -17,9 +17,11 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pagecat.llm.common import by_bytes, id_text
 
@@ -251,34 +253,46 @@ def little_endian(ids: array) -> bytes:
 
 
 def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, and its ids and decoded text if asked for.
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, and its ids if asked for.
 
     A null text counts as empty: no ids, an empty decoded text. Repeated rows give repeated rows, an empty
     table an empty one; other columns are not read.
     """
-    kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = vocabulary(tokenizer)
 
         def work(ids: list, texts: list) -> pa.RecordBatch:
-            tokens, plain, hashes, decoded_hashes, sizes = [], [], [], [], []
-            for t in texts:
-                found = model.encode(t)
-                text = model.decode(found)
-                hashes.append(hashlib.sha256(little_endian(found)).hexdigest())
-                decoded_hashes.append(hashlib.sha256(text.encode()).hexdigest())
-                sizes.append(len(found))
-                if keep_ids:
-                    tokens.append(found)
-                    plain.append(text)
-            columns = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded_hashes, pa.string())]
+            found = [model.encode(t) for t in texts]
+            columns = [
+                pa.array(ids, pa.int64()),
+                pa.array(list(map(len, found)), pa.int64()),
+                pa.array([hashlib.sha256(little_endian(x)).hexdigest() for x in found], pa.string()),
+                pa.array([hashlib.sha256(model.decode(x).encode()).hexdigest() for x in found], pa.string()),
+            ]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                columns += [pa.array([t.tolist() for t in tokens], pa.list_(pa.int32())), pa.array(plain, pa.string())]
-                names += ["ids", "decoded"]
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                values = np.concatenate([np.empty(0, np.uint32), *(np.frombuffer(x, np.uint32) for x in found)])
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int32))))
+                names.append("ids")
             return pa.RecordBatch.from_arrays(columns, names)
 
         return by_bytes(batches, work, 2 << 20)
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, kind + ", ids array<int>, decoded string" * keep_ids)
+    return id_text(docs, id_col, text_col).mapInArrow(run, kind)
+
+
+def decoded(rows: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """doc_id, text of every row of ids; null ids count as none and give an empty text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = vocabulary(tokenizer)
+        for batch in batches:
+            texts = [model.decode(x or []) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    return rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")).mapInArrow(
+        run, "doc_id long, text string"
+    )

@@ -48,6 +48,23 @@ def safe_parts(text: str) -> list[str]:
     return _SAFE.split(text)
 
 
+@lru_cache(maxsize=2)
+def _ids(path: str) -> dict[str, list[int]]:
+    return {}
+
+
+def part_ids(path: str, texts: list[list[str]]) -> dict[str, list[int]]:
+    """Token ids of every part of some texts, encoding those not yet known as one batch."""
+    model, known = piece_encoder(path), _ids(path)
+    if len(known) > REMEMBERED:
+        known.clear()
+    fresh = list({p for parts in texts for p in parts}.difference(known))
+    ids = dict(zip(fresh, model.encode(fresh, num_threads=1)))
+    found = {p: known[p] for parts in texts for p in parts if p in known} | ids
+    known.update((p, i) for p, i in ids.items() if len(p) <= LONG_PART)
+    return found
+
+
 @lru_cache(maxsize=2)
 def _lengths(path: str) -> dict[str, int]:
     return {}

@@ -105,16 +105,13 @@ def item_windows(docs: DataFrame, items: DataFrame, passes: int) -> DataFrame:
     return reduce(DataFrame.unionByName, found).withColumns({"k1": F.xxhash64("words"), "k2": F.hash("words")})
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
-) -> DataFrame:
-    """doc_id, contaminated, n_items, items (ids, ascending), similarity (the best, 0 if none) of every row.
+def leaks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """found_id, found_hash (of the text), items (ids, ascending), best (similarity): the contaminated (doc_id, text).
 
     A null or empty text is clean, an item without a word matches nothing, an item of fewer than five words
-    matches only a whole text of the same words. Repeated rows give repeated rows, an empty table an
-    empty one; without items all is clean. Other columns are not read.
+    matches only a whole text of the same words. Repeated rows are one row here.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), words_of(F.col(item_text_col).cast("string")).alias("words"))
     items = items.where(F.size("words") > 0).distinct().withColumn("hashes", shingle_hashes("words"))
     items = written(items.select("item_id", "words", "hashes", F.size("hashes").alias("m"), F.size("words").alias("n")), "items")
@@ -135,13 +132,25 @@ def contaminated(
     verified = pairs.withColumn("similarity", similarity("a", "b")).where(F.col("similarity") >= SIMILAR)
     verified = written(verified.select("m", "k1", "k2", "item_id", "similarity"), "verified")
 
-    marked = (
+    return (
         windows.join(verified, ["m", "k1", "k2"])
         .groupBy("doc_id", "text_hash", "item_id")
         .agg(F.max("similarity").alias("similarity"))
         .groupBy(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"))
         .agg(F.sort_array(F.collect_list("item_id")).alias("items"), F.max("similarity").alias("best"))
     )
+
+
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
+) -> DataFrame:
+    """doc_id, contaminated, n_items, items (ids, ascending), similarity (the best, 0 if none) of every row.
+
+    Repeated rows give repeated rows, an empty table an empty one; without items all is clean. Other columns
+    are not read.
+    """
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    marked = leaks(docs, benchmark, item_col, item_text_col)
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
     out = rows.join(marked, rows["doc_id"].eqNullSafe(marked["found_id"]) & (rows["text_hash"] == marked["found_hash"]), "left")
     none = F.array().cast("array<bigint>")
@@ -152,3 +161,10 @@ def contaminated(
         F.coalesce("items", none).alias("items"),
         F.coalesce("best", F.lit(0.0)).alias("similarity"),
     )
+
+
+def cleaned(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """All columns of the rows that hold no benchmark item."""
+    marked = leaks(docs, benchmark)
+    same = F.col("doc_id").cast("long").eqNullSafe(marked["found_id"]) & (F.xxhash64(F.col("text").cast("string")) == marked["found_hash"])
+    return docs.join(marked, same, "left_anti")

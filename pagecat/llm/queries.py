@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagecat.llm import bpe, counts, decontaminate, html, language, quality, repeats, simhash, toxicity
+from pagecat.llm import bpe, counts, decontaminate, html, language, order, quality, repeats, simhash, toxicity
 from pagecat.llm.common import fold, table
 
 
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order.materialised(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.kept_texts(table(spark, sf_dir, "documents"), digest_only=True)
+    return repeats.digests(table(spark, sf_dir, "documents"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +62,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_training_order": op1_training_order,
         "op2_suffix_dedup": op2_suffix_dedup,
         "op3_toxicity": op3_toxicity,
         "op4_html": op4_html,

@@ -24,11 +24,12 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagecat.llm.common import reachable, written
+from pagecat.llm.common import id_text, reachable, written
 from pagecat.llm.suffixes import Rolling, anchors, common_prefix, decoded, front_coded, merged
 
 SIZE = 400
@@ -50,16 +51,18 @@ def _array(column: pa.Array, kind: type) -> list[np.ndarray]:
 
 
 class Repeats:
-    """The steps above over one table of (doc_id, text); ``close`` removes the stored texts."""
+    """The steps above over one table with a column ``text``; ``close`` removes the stored texts."""
 
     def __init__(self, docs: DataFrame, size: int = SIZE, gram: int = GRAM):
+        if gram > size:
+            raise ValueError("an anchor must fit into a window")
         self.spark: SparkSession = reachable(docs.sparkSession)
         self.size, self.gram, self.span = size, gram, min(SPAN, max(2, size // 2))
         self.width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         text = F.coalesce(F.col("text"), F.lit(""))
-        self.keyed = docs.withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit("second"), text)})
+        self.keyed = docs.withColumns({"llm_k1": F.xxhash64(text), "llm_k2": F.xxhash64(F.lit("second"), text)})
         self.name = f"llm_texts_{uuid.uuid4().hex}"
-        once = self.keyed.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.first(text).alias("text"))
+        once = self.keyed.groupBy(F.col("llm_k1").alias("k1"), F.col("llm_k2").alias("k2")).agg(F.count("*").alias("copies"), F.first(text).alias("text"))
         once.repartition(self.width, "k1", "k2").write.bucketBy(self.width, "k1", "k2").saveAsTable(self.name)
 
     def texts(self) -> DataFrame:
@@ -358,49 +361,85 @@ class Repeats:
         return ranges.mapInArrow(run, "k1 long, k2 long, spans array<struct<begin: int, end: int>>")
 
 
-def kept_texts(docs: DataFrame, digest_only: bool = False, size: int = SIZE, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, unless only digests are asked for, spans and kept.
+    def kept(self, digest_only: bool) -> DataFrame:
+        """k1, k2, n_bytes, n_removed, n_spans and kept_sha256 of every text; or, of the texts that lose
+        bytes, also the spans and the kept bytes. Written, after which the stored texts are removed."""
+        size = self.size
+        spans = written(self.spans(), "spans")
+        kind = "k1 long, k2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        if not digest_only:
+            kind += ", spans array<struct<begin: int, end: int>>, kept binary"
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                copies = batch.column(2).to_pylist()
+                lists = batch.column(4).to_pylist()
+                columns: list[list] = [[] for _ in range(8)]
+                for i, t in enumerate(batch.column(3)):
+                    data = t.as_py().encode()
+                    out = [(s["begin"], s["end"]) for s in lists[i] or []]
+                    if copies[i] > 1 and len(data) >= size:
+                        out = [(0, len(data))]
+                    if not out and not digest_only:
+                        continue
+                    left, at = [], 0
+                    for a, b in out:
+                        left.append(data[at:a])
+                        at = b
+                    left.append(data[at:])
+                    rest = b"".join(left)
+                    values = keys[0][i], keys[1][i], len(data), len(data) - len(rest), len(out), hashlib.sha256(rest).hexdigest(), [{"begin": a, "end": b} for a, b in out], rest
+                    for c, v in zip(columns, values):
+                        c.append(v)
+                kinds = (*(pa.int64(),) * 5, pa.string(), pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())])), pa.binary())
+                names = ["k1", "k2", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
+                n = 6 if digest_only else 8
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns[:n], kinds)], names[:n])
+
+        done = self.with_text(spans, "left").select("k1", "k2", "copies", "text", "spans").mapInArrow(run, kind)
+        done = written(done, "kept")
+        self.close()
+        return done
+
+
+def digests(docs: DataFrame, size: int = SIZE, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
 
     Texts are UTF-8 bytes, a null text is empty; matches never cross texts and are judged on the input.
     A text shorter than ``size`` keeps everything, one that another row repeats loses everything if it is
     that long. Repeated rows give repeated rows, an empty table an empty one; other columns are not read.
     """
-    if gram > size:
-        raise ValueError("an anchor must fit into a window")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = Repeats(rows, size, gram)
-    spans = written(found.spans(), "spans")
-    kind = "k1 long, k2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    if not digest_only:
-        kind += ", spans array<struct<begin: int, end: int>>, kept binary"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns: list[list] = [[] for _ in range(6)]
-            copies = batch.column(2).to_pylist()
-            lists = batch.column(4).to_pylist()
-            for i, t in enumerate(batch.column(3)):
-                data = t.as_py().encode()
-                out = [(s["begin"], s["end"]) for s in lists[i] or []]
-                if copies[i] > 1 and len(data) >= size:
-                    out = [(0, len(data))]
-                kept, at = [], 0
-                for a, b in out:
-                    kept.append(data[at:a])
-                    at = b
-                kept.append(data[at:])
-                rest = b"".join(kept)
-                values = len(data), len(data) - len(rest), len(out), hashlib.sha256(rest).hexdigest(), [{"begin": a, "end": b} for a, b in out], rest
-                for c, v in zip(columns, values):
-                    c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())])), pa.binary())
-            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
-            n = 4 if digest_only else 6
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns[:n], kinds))], ["k1", "k2", *names[:n]]
-            )
-
-    done = found.with_text(spans, "left").select("k1", "k2", "copies", "text", "spans").mapInArrow(run, kind)
-    done = written(done, "kept")
-    found.close()
-    return found.keyed.select("doc_id", "k1", "k2").join(done, ["k1", "k2"]).drop("k1", "k2")
+    found = Repeats(id_text(docs, id_col, text_col), size, gram)
+    done = found.kept(digest_only=True)
+    rows = found.keyed.select("doc_id", F.col("llm_k1").alias("k1"), F.col("llm_k2").alias("k2"))
+    return rows.join(done, ["k1", "k2"]).drop("k1", "k2")
+
+
+def deduplicated(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
+    """All rows and columns, the repeated passages cut out of ``text``; ``n_chars`` follows if there is one.
+
+    A character of which a cut leaves only some bytes goes too. Texts without repeats stay as they are,
+    null texts included.
+    """
+    found = Repeats(docs, size, gram)
+    done = found.kept(digest_only=False)
+    done = done.select(F.col("k1").alias("llm_k1"), F.col("k2").alias("llm_k2"), F.col("kept").alias("llm_kept"))
+    joined = found.keyed.join(done, ["llm_k1", "llm_k2"], "left")
+    # A whole character: what is no UTF-8 after the cut is a leading or a trailing part of one.
+    new = F.coalesce(whole_characters("llm_kept"), F.col("text"))
+    out = joined.withColumn("text", new)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("llm_kept").isNotNull(), F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def whole_characters(column: str) -> Column:
+    """Bytes as text, without the parts of characters that cuts left over."""
+
+    @F.pandas_udf("string")
+    def decode(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if v is None else bytes(v).decode("utf-8", "ignore"))
+
+    return decode(F.col(column))
