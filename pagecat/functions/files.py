@@ -41,14 +41,19 @@ def _binary_size_expr(size: Column) -> Column:
     return _units(
         size,
         1024,
-        lambda power: F.bround(size / F.lit(1024.0**power), 1).cast("decimal(20,1)").cast("string"),
+        lambda power: F.bround(size.cast("double") / F.lit(1024.0**power), 1).cast("decimal(38,1)").cast("string"),
     )
 
 
+def _truncated(value: Column) -> Column:
+    """A double without its fraction; null past 38 digits."""
+    return F.coalesce(value.try_cast("bigint").cast("decimal(38,0)"), value.try_cast("decimal(38,0)"))
+
+
 def parse_size_expr(text: Column) -> Column:
     """Size text -> struct(human, bytes), in units of 1024; (text, 0) where it is no size.
 
-    Sizes past the range of a bigint count as no size.
+    ``bytes`` is a decimal of 38 digits, so that sizes past the range of a bigint are kept.
     """
     def parts(clean: Column) -> Column:
         return F.struct(
@@ -61,14 +66,14 @@ def parse_size_expr(text: Column) -> Column:
         factor = F.lit(1.0)
         for power, unit in enumerate(("KB", "MB", "GB", "TB"), 1):
             factor = F.when(part["unit"] == unit, 1024.0**power).otherwise(factor)
-        size = (part["value"] * factor).try_cast("bigint")
+        size = _truncated(part["value"] * factor)
         return F.struct(part["text"].alias("text"), size.alias("size"))
 
     def result(sized: Column) -> Column:
         size = sized["size"]
         human = F.when(size.isNull(), sized["text"]).otherwise(_binary_size_expr(size))
         return F.struct(
-            human.alias("human"), F.coalesce(size, F.lit(0).cast("bigint")).alias("bytes")
+            human.alias("human"), F.coalesce(size, F.lit(0).cast("decimal(38,0)")).alias("bytes")
         )
 
     clean = F.replace(strip_expr(text), F.lit(","), F.lit(""))

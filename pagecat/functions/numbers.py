@@ -2,8 +2,9 @@
 
 A quotient such as 1015 / 1000 is no exact double: the nearest one lies just below 1.015, so two
 digits give 1.01. Decimals alone cannot see that, so where the decimal value is a tie the double
-itself decides. A double below 1024 times 2**52 is a whole number that fits a bigint, which makes the
-comparison exact.
+itself decides. A double times a power of two is a whole number that fits a bigint, with a power for every
+range of values, which makes the comparison exact. Past 2**53 an amount is no exact double itself; its
+decimal quotient then gives the nearest double.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Values below 2**a times 2**b fit a bigint; the range below starts where b bits are enough.
+_SHIFTS = [(0, 60), (10, 52), (20, 42), (30, 32), (34, 28), (44, 18)]
+
+
 def _whole(c: Column) -> Column:
     return c.cast("bigint").cast("decimal(20,0)")
 
@@ -29,17 +34,17 @@ def ratio_text_expr(amount: Column, step: int) -> Column:
     exact = amount.cast("decimal(20,0)")
     nearest = F.bround(exact * F.lit(Decimal(1) / Decimal(step)), 2)
     below = F.floor(exact * F.lit(Decimal(100) / Decimal(step))).cast("decimal(20,0)")
-    value = amount / F.lit(float(step))
-    # A tie with two digits is at least 0.005, whose last bit is worth 2**-60.
-    side = (
-        F.when(value < 1, _over_tie(value, exact, step, 60))
-        .when(value < 1024, _over_tie(value, exact, step, 52))
-        .when(value < 2**20, _over_tie(value, exact, step, 42))
-    )
+    quotient = (exact * F.lit(Decimal(1) / Decimal(step))).cast("double")
+    value = F.when(amount < 2**53, amount / F.lit(float(step))).otherwise(quotient)
+    # A tie with two digits is at least 0.005, whose last bit is worth 2**-60. Scaled values stay
+    # below 2**62, and the last bit of the smallest value of a range is a whole number.
+    side = _over_tie(value, exact, step, 8)
+    for below_power, shift in reversed(_SHIFTS):
+        side = F.when(value < 2.0**below_power, _over_tie(value, exact, step, shift)).otherwise(side)
     up = (side > 0) | ((side == 0) & (below % 2 == 1))
     tie = F.when(up, below + 1).otherwise(below) * F.lit(Decimal("0.01"))
     is_tie = amount % (step // 100) == step // 200
-    return F.when(is_tie & side.isNotNull(), tie.cast("decimal(20,2)").cast("string")).otherwise(
+    return F.when(is_tie, tie.cast("decimal(20,2)").cast("string")).otherwise(
         nearest.cast("decimal(20,2)").cast("string")
     )
 

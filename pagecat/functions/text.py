@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from functools import reduce
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ _WS_CHARACTERS = "".join(chr(code) for code in range(0x3001) if chr(code).isspac
 # The rest of a tag after its name: quoted values may hold '>'. Possessive: no backtracking.
 # Patterns start with a plain '<', which skips text fastest.
 TAG_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
-_UNSEEN = r"(?s)<(?:!--.*?-->|(?i:(script|style|noscript|template{head})\b.*?</\1\s*>))"
+_UNSEEN = r"(?s)<(?:!--.*?(?:-->|\z)|(?i:(script|style|noscript|template{head})\b.*?(?:</\1\s*>|\z)))"
 _NO_CONTENT = _UNSEEN.format(head="")
 _NO_CONTENT_OR_HEAD = _UNSEEN.format(head="|head")
 _BREAKS = (
@@ -30,15 +30,19 @@ _TAGS = rf"<[A-Za-z/!?]{TAG_REST}"
 # Stands for a line break while white space of the source still is in the text.
 _MARK = "\x01"
 
-_ENTITY = r"^(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+_NUMBER = r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
+_NAME = r"^[A-Za-z][A-Za-z0-9]*;?"
 _COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": " "}
-_NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+# Names with their semicolon, and the old ones that HTML also reads without it.
+_OLD_NAMES = "^(?:" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)) + ")"
 # Browsers read the C1 range of numeric entities as the Windows code page.
 _WINDOWS = {
     str(code): bytes([code]).decode("cp1252")
     for code in range(0x80, 0xA0)
     if code not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)
 }
+# Code points that a numeric entity drops: controls and what is never a character.
+_NO_CHARACTERS = ((0x1, 0x8), (0xB, 0xB), (0xE, 0x1F), (0x7F, 0x7F), (0xFDD0, 0xFDEF))
 
 
 def let(c: Column, use) -> Column:
@@ -67,38 +71,55 @@ def _map_of(table: dict[str, str]) -> Column:
 
 
 def _character(code: Column) -> Column:
-    """Code point to text; numbers that are no character become U+FFFD."""
+    """Code point to text; zero, surrogates and numbers past Unicode become U+FFFD, others drop."""
     bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
     utf32 = F.unhex(F.lpad(F.hex(F.when(bad, F.lit(0xFFFD)).otherwise(code)), 8, "0"))
     plain = F.decode(utf32, "UTF-32")
     windows = F.try_element_at(_map_of(_WINDOWS), code.cast("string"))
-    return F.when(code.between(0x80, 0x9F), F.coalesce(windows, plain)).otherwise(plain)
+    dropped = reduce(lambda a, b: a | b, [code.between(*pair) for pair in _NO_CHARACTERS])
+    dropped = ~bad & (dropped | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
+    return (
+        F.when(dropped, "")
+        .when(code.between(0x80, 0x9F), F.coalesce(windows, plain))
+        .otherwise(plain)
+    )
 
 
-def _entity_text(name: Column) -> Column:
-    """Text of an entity name without '&' and ';', null if there is none."""
-    common = reduce(
-        lambda chain, item: chain.when(name == item[0], item[1]),
-        list(_COMMON.items())[1:],
-        F.when(name == "amp", "&"),
-    )
-    digits = F.regexp_replace(name, "^#[xX]?", "")
-    code = F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
-    return common.when(name.startswith("#"), _character(code)).otherwise(
-        F.try_element_at(_map_of(_NAMED), name)
+def _number_text(found: Column) -> Column:
+    """Text of a numeric entity without '&', however many digits it has."""
+    hexadecimal = found.rlike("^#[xX]")
+    digits = F.regexp_replace(F.regexp_replace(found, "^#[xX]?0*|;$", ""), "^$", "0")
+    # More digits than Unicode has are past its end, and past a bigint.
+    code = F.when(F.length(digits) > 7, F.lit(0x110000).cast("bigint")).otherwise(
+        F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
     )
+    return _character(code)
 
 
 def unescape_expr(c: Column) -> Column:
     """Replace HTML entities in one pass, so text that spells an entity is never decoded twice."""
 
     def decode(piece: Column, i: Column) -> Column:
-        found = F.regexp_extract(piece, _ENTITY, 0)
-        text = _entity_text(F.rtrim(found, F.lit(";")))
-        decoded = F.concat(text, F.substr(piece, F.length(found) + 1))
-        return F.when(i == 0, piece).when(
-            found != "", F.coalesce(decoded, F.concat(F.lit("&"), piece))
-        ).otherwise(F.concat(F.lit("&"), piece))
+        number = F.regexp_extract(piece, _NUMBER, 0)
+        name = F.regexp_extract(piece, _NAME, 0)
+        common = reduce(
+            lambda chain, item: chain.when(name == f"{item[0]};", item[1]),
+            list(_COMMON.items())[1:],
+            F.when(name == "amp;", "&"),
+        )
+        whole = F.coalesce(common, F.try_element_at(_map_of(html5), name))
+        old = F.regexp_extract(piece, _OLD_NAMES, 0)
+
+        def followed(text: Column, found: Column) -> Column:
+            return F.concat(text, F.substr(piece, F.length(found) + 1))
+
+        decoded = F.when(number != "", followed(_number_text(number), number)).otherwise(
+            F.coalesce(
+                F.when(name != "", followed(whole, name)),
+                F.when(old != "", followed(F.try_element_at(_map_of(html5), old), old)),
+            )
+        )
+        return F.when(i == 0, piece).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), piece)))
 
     return let(
         c,

@@ -14,6 +14,8 @@ from pagecat.functions.text import (
     has_any,
     inline_text_expr,
     rest_expr,
+    strip_expr,
+    unescape_expr,
 )
 from pagecat.functions.urls import is_dataset_link_expr, resolve_href_expr
 from pagecat.schemas import BASE_FIELDS
@@ -24,7 +26,9 @@ ORDER = ["run", "page_num", "pos"]
 
 _HREF = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
 _LINK = "struct<href:string,inner:string>"
-_TBODY = r"(?i)<tbody\b"
+# A table has rows in a body, or rows of its own, whose body HTML implies.
+_TBODY = r"(?is)<tbody\b|<table\b(?:(?!</table\b).)*?<tr\b"
+_FIRST_TABLE = rf"(?is)<table\b{TAG_REST}(.*?)(?:</table\b|\z)"
 _FIRST_TBODY = rf"(?is)<tbody\b{TAG_REST}(.*?)(?:</tbody\b|</table\b|\z)"
 
 
@@ -46,7 +50,9 @@ def links_expr(html: Column) -> Column:
 
     def link(piece: Column) -> Column:
         attributes = F.regexp_extract(piece, rf"^{TAG_REST}", 0)
-        href = F.concat(*(F.regexp_extract(attributes, _HREF, group) for group in (1, 2, 3)))
+        raw = F.concat(*(F.regexp_extract(attributes, _HREF, group) for group in (1, 2, 3)))
+        # As a browser reads an address: references decoded, no white space around it.
+        href = strip_expr(F.when(raw.contains("&"), unescape_expr(raw)).otherwise(raw))
         inner = F.regexp_replace(
             F.get(F.split(piece, r"(?i)</a\s*>", 2), F.lit(0)), rf"^{TAG_REST}", ""
         )
@@ -95,8 +101,32 @@ def _probe(seen_pages: DataFrame, include: str) -> DataFrame:
     )
 
 
+def _outer_tables(seen: Column) -> Column:
+    """The page without tables inside tables: their cells are no cells of the listing."""
+    empty = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kept"))
+
+    def step(state: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike("(?i)^<table\\b"), piece.rlike("(?i)^</table\\b")
+        depth = F.greatest(
+            F.lit(0), state["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        )
+        inner_end = closes & (depth == 1)
+        after = F.regexp_replace(piece, "^[^>]*>?", "")
+        text = F.when(inner_end, after).when(depth <= 1, piece).otherwise("")
+        return F.struct(depth.alias("depth"), F.concat(state["kept"], text).alias("kept"))
+
+    pieces = F.split(seen, r"(?i)(?=</?table\b)")
+    flat = F.aggregate(pieces, empty, step, lambda state: state["kept"])
+    return F.when(F.regexp_count(seen, F.lit(r"(?i)<table\b")) > 1, flat).otherwise(seen)
+
+
 def _row_cells(seen: Column) -> Column:
-    body = F.regexp_extract(seen, _FIRST_TBODY, 1)
+    """Cells of the rows of the first body, or of the first table where no body is written."""
+    outer = _outer_tables(seen)
+    written = outer.rlike(r"(?i)<tbody\b")
+    body = F.when(written, F.regexp_extract(outer, _FIRST_TBODY, 1)).otherwise(
+        F.regexp_extract(outer, _FIRST_TABLE, 1)
+    )
     return F.transform(_elements(body, "tr"), lambda row: _elements(row, "td"))
 
 

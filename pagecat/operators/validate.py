@@ -22,10 +22,21 @@ _PAGE_FIELDS = [field for field, _ in rules.COMPARISONS]
 # ---- copy against copy -----------------------------------------------------------------------
 
 
-def count_check(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Row counts of both copies, and the one mismatch entry where they differ. One row."""
-    left = a.agg(F.count(F.lit(1)).alias("json_count"))
-    right = b.agg(F.count(F.lit(1)).alias("excel_count"))
+def _sides(left: DataFrame, right: DataFrame, by: tuple[str, ...], how: str) -> DataFrame:
+    """Both sides beside each other: per group with ``by`` (nulls are a group), else one row each."""
+    if not by:
+        return left.crossJoin(right)
+    renamed = right.withColumnsRenamed({c: f"_{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    joined = left.join(renamed, same, how)
+    return joined.withColumns({c: F.coalesce(c, f"_{c}") for c in by}).drop(*(f"_{c}" for c in by))
+
+
+def count_check(a: DataFrame, b: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Row counts of both copies, and the one mismatch entry where they differ; a row per group."""
+    left = a.groupBy(*by).agg(F.count(F.lit(1)).alias("json_count"))
+    right = b.groupBy(*by).agg(F.count(F.lit(1)).alias("excel_count"))
+    both = _sides(left, right, by, "full").na.fill(0, ["json_count", "excel_count"])
     same = F.col("json_count") == F.col("excel_count")
     message = F.concat(
         F.lit("Entry count mismatch: JSON has "),
@@ -33,7 +44,8 @@ def count_check(a: DataFrame, b: DataFrame) -> DataFrame:
         F.lit(", Excel has "),
         F.col("excel_count").cast("string"),
     )
-    return left.crossJoin(right).select(
+    return both.select(
+        *by,
         same.alias("passed"),
         "json_count",
         "excel_count",
@@ -42,20 +54,25 @@ def count_check(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
-def row_diff(a: DataFrame, b: DataFrame, index: str = "row_idx") -> DataFrame:
-    """Rows that differ, copies aligned by position: (row, dataset_url, differences).
+def row_diff(
+    a: DataFrame, b: DataFrame, index: str = "row_idx", by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Rows that differ, copies aligned by position: (by, row, dataset_url, differences).
 
-    One join on the row index, then all fields are compared inside the row. Nulls count as ''.
+    One join on the group and the row index, which starts anew in every group (a run, say), then all
+    fields are compared inside the row. Nulls count as ''.
     Fields of only one copy are added or removed; fields of unlike types differ in type.
     """
-    left = {f.name: f.dataType for f in a.schema if f.name != index}
-    right = {f.name: f.dataType for f in b.schema if f.name != index}
-    joined = a.select(
-        F.col(index).alias("_row"), F.struct(*left).alias("_a"), F.lit(True).alias("_in_a")
-    ).join(
-        b.select(F.col(index).alias("_row"), F.struct(*right).alias("_b"), F.lit(True).alias("_in_b")),
-        "_row",
-        "full",
+    keys = [*by, index]
+    left = {f.name: f.dataType for f in a.schema if f.name not in keys}
+    right = {f.name: f.dataType for f in b.schema if f.name not in keys}
+    place = F.col(index).alias("_row")
+    # Rows of only one copy have no partner; counts are compared by count_check.
+    joined = _sides(
+        a.select(*by, place, F.struct(*left).alias("_a")),
+        b.select(*by, place, F.struct(*right).alias("_b")),
+        (*by, "_row"),
+        "inner",
     )
 
     def entry(kind: str, field: str, old: Column, new: Column) -> Column:
@@ -87,8 +104,8 @@ def row_diff(a: DataFrame, b: DataFrame, index: str = "row_idx") -> DataFrame:
 
     found = F.array_sort(F.filter(F.array(*changes), lambda c: c.isNotNull()))
     return (
-        joined.where(F.col("_in_a") & F.col("_in_b"))
-        .select(
+        joined.select(
+            *by,
             (F.col("_row") + 1).cast("bigint").alias("row"),
             (F.coalesce(F.col("_a")["dataset_url"], F.lit("")) if "dataset_url" in left else F.lit("Unknown")).alias(
                 "dataset_url"
@@ -99,12 +116,15 @@ def row_diff(a: DataFrame, b: DataFrame, index: str = "row_idx") -> DataFrame:
     )
 
 
-def consistency_summary(a: DataFrame, b: DataFrame, index: str = "row_idx") -> DataFrame:
+def consistency_summary(
+    a: DataFrame, b: DataFrame, index: str = "row_idx", by: tuple[str, ...] = ()
+) -> DataFrame:
     """Passed, both counts, and the number of mismatches; rows count only where counts agree."""
-    differing = row_diff(a, b, index).agg(F.count(F.lit(1)).alias("n"))
-    counts = count_check(a, b)
+    differing = row_diff(a, b, index, by).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    counts = count_check(a, b, by)
     mismatches = F.when(F.col("passed"), F.col("n")).otherwise(F.lit(1)).cast("bigint")
-    return counts.crossJoin(differing).select(  # one row each
+    return _sides(counts, differing, by, "left").na.fill(0, ["n"]).select(
+        *by,
         (F.col("passed") & (F.col("n") == 0)).alias("passed"),
         "json_count",
         "excel_count",
@@ -265,14 +285,21 @@ def exit_code_expr(
     )
 
 
-def exit_code(counts: DataFrame, consistency: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    """Exit code of every row of status counts, under one consistency check (one row).
+def exit_code(
+    counts: DataFrame, consistency: DataFrame, pages: DataFrame | None = None, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Exit code of every row of status counts, under the consistency check of its group.
 
-    A run without any record is unreadable input; a corpus without any page is no page source.
+    A run without any record is unreadable input; a group without any page has no page source. Without
+    ``by`` there is one check and one corpus for all rows.
     """
-    passed = consistency.select("passed")
+    passed = consistency.select(*by, "passed")
     if pages is None:
-        with_pages = counts.crossJoin(passed).withColumn("has_pages", F.lit(True))
+        with_pages = _sides(counts, passed, by, "left").withColumn("has_pages", F.lit(True))
+    elif by:
+        paged = pages.select(*by).distinct().withColumn("has_pages", F.lit(True))
+        with_pages = _sides(_sides(counts, passed, by, "left"), paged, by, "left")
+        with_pages = with_pages.na.fill(False, ["has_pages", "passed"])
     else:
         any_page = pages.limit(1).agg((F.count(F.lit(1)) > 0).alias("has_pages"))
         with_pages = counts.crossJoin(passed).crossJoin(any_page)

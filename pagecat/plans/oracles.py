@@ -252,6 +252,21 @@ DIFFS = """diffs AS (
     ('species', a.species, b.species)) AS u(field, old_value, new_value)
   WHERE u.old_value <> u.new_value)"""
 
+DIFFS_BY_RUN = """diffs_by_run AS (
+  SELECT CAST((row - 1) % 3 AS VARCHAR) AS run, (row - 1) // 3 + 1 AS row, dataset_url, kind, field,
+    old_value, new_value
+  FROM diffs WHERE row <> 3)"""
+
+CONSISTENT_BY_RUN = """consistent AS (
+  SELECT run, json_count, excel_count, json_count = excel_count AND n = 0 AS passed,
+    CASE WHEN json_count = excel_count THEN n ELSE 1 END AS mismatch_count
+  FROM (
+    SELECT CAST(row_idx % 3 AS VARCHAR) AS run, count(*) AS json_count,
+      count(*) FILTER (row_idx <> 2) AS excel_count
+    FROM a GROUP BY 1)
+  LEFT JOIN (SELECT run, count(DISTINCT row) AS differing FROM diffs_by_run GROUP BY run) USING (run),
+  LATERAL (SELECT coalesce(differing, 0) AS n))"""
+
 _T = [t.title() for t in rules.TISSUES]
 
 
@@ -409,9 +424,8 @@ def all_oracles() -> dict[str, str]:
     report_columns = (
         f"count(*) AS total_datasets, {_STATUS_COUNTS}, {_EXIT}"
     )
-    wide = ", ".join(
-        f"max({field}) FILTER (i = {i}) AS file_{i}_{field.removeprefix('file_')}"
-        for i in range(1, 5)
+    cells = ", ".join(
+        f"('file_' || i || '_{field.removeprefix('file_')}', {field})"
         for field in ["file_type", "filename", "size", "md5sum", "url"]
     )
     return {
@@ -669,14 +683,35 @@ def all_oracles() -> dict[str, str]:
         "files_wide": _with(
             ORD,
             ITEMS,
-            f"ranked AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY set_pos, file_pos) AS i FROM files), "
-            f"wide AS (SELECT k, {wide} FROM ranked GROUP BY k)",
-            query="SELECT o.dataset_url, w.* EXCLUDE (k) FROM ord o LEFT JOIN wide w USING (k)",
+            "ranked AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY set_pos, file_pos) AS i FROM files)",
+            query=f"SELECT dataset_url, u.file_column, u.value FROM ranked, LATERAL (VALUES {cells}) "
+            "AS u(file_column, value) WHERE u.value IS NOT NULL",
         ),
         "count_check": """
           SELECT false AS passed, count(*) AS json_count, count(*) - 1 AS excel_count, 'count_mismatch' AS type,
             'Entry count mismatch: JSON has ' || count(*) || ', Excel has ' || (count(*) - 1) AS message FROM part""",
         "row_diff": _with(COPIES, DIFFS, query="SELECT * FROM diffs"),
+        "row_diff_by_run": _with(
+            COPIES,
+            DIFFS_BY_RUN,
+            query="SELECT run, row, dataset_url, kind, field, old_value, new_value FROM diffs_by_run",
+        ),
+        "consistency_by_run": _with(
+            COPIES,
+            DIFFS_BY_RUN,
+            CONSISTENT_BY_RUN,
+            query="SELECT * FROM consistent",
+        ),
+        "exit_code_by_run": _with(
+            COPIES,
+            DIFFS_BY_RUN,
+            CONSISTENT_BY_RUN,
+            CHECKED,
+            query="""SELECT r.run, CAST(CASE WHEN r.run = '1' THEN 2
+              WHEN NOT c.passed OR count(*) FILTER (status IN ('mismatched', 'failed')) > 0 THEN 1 ELSE 0 END
+              AS INTEGER) AS exit_code
+            FROM results r LEFT JOIN consistent c USING (run) GROUP BY r.run, c.passed""",
+        ),
         "consistency_summary": _with(
             COPIES,
             DIFFS,

@@ -7,6 +7,7 @@ def strings(*names: str) -> list[T.StructField]:
     return [T.StructField(name, T.StringType()) for name in names]
 
 
+# Field names of records, files and reports.
 BASE_FIELDS = [
     "dataset_name",
     "dataset_url",

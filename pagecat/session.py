@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,15 +33,15 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for files written between stages.
 
-    On a cluster it lies in the shared folder named by ``spark.checkpoint.dir``. Only a local
-    master without that setting falls back to the machine's temporary folder.
+    It lies in the shared folder that ``spark.checkpoint.dir`` names. Only a local master may leave
+    that unset: its files go to a folder beside the warehouse then.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         master = spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.gettempdir()
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-stages"
     return f"{shared.rstrip('/')}/pagecat-{name}-{uuid.uuid4().hex}"
 
 

@@ -27,12 +27,17 @@ def _blank_nulls(df: DataFrame) -> DataFrame:
     return df.na.fill("")
 
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType, lines: bool = False) -> DataFrame:
+def read_records(
+    spark: SparkSession, path: str, schema: T.StructType, lines: bool = False, blanks: bool = True
+) -> DataFrame:
     """Records in JSON: a pretty-printed array per file, or one object per line.
 
+    A missing key becomes '', or stays null without ``blanks``, where it must not pass for a blank.
+
     A file with an array is read by one task; large catalogues come as lines, which split.
     """
-    return _blank_nulls(spark.read.schema(schema).option("multiLine", not lines).json(path))
+    records = spark.read.schema(schema).option("multiLine", not lines).json(path)
+    return _blank_nulls(records) if blanks else records
 
 
 def read_tabular(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
