@@ -63,7 +63,8 @@ class Repeats:
         self.keyed = docs.withColumns({"llm_k1": F.xxhash64(text), "llm_k2": F.xxhash64(F.lit("second"), text)})
         self.name = f"llm_texts_{uuid.uuid4().hex}"
         once = self.keyed.groupBy(F.col("llm_k1").alias("k1"), F.col("llm_k2").alias("k2")).agg(F.count("*").alias("copies"), F.first(text).alias("text"))
-        once.repartition(self.width, "k1", "k2").write.bucketBy(self.width, "k1", "k2").saveAsTable(self.name)
+        # The aggregate deals by the same hash into as many parts as there are buckets: no second exchange.
+        once.write.bucketBy(self.width, "k1", "k2").saveAsTable(self.name)
 
     def texts(self) -> DataFrame:
         return self.spark.read.table(self.name)
@@ -101,11 +102,10 @@ class Repeats:
         """k1, k2 and arrays of the anchors whose hash occurs twice or more."""
         rows = written(self.anchor_rows(), "anchors")
         twice = written(rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
-        return self.by_text(rows.join(twice, "gram"))
+        return self.by_text(rows.join(twice, "gram"), ["anchor", "first_start", "last_start", "gram"])
 
-    def by_text(self, rows: DataFrame) -> DataFrame:
-        """One row per text: its anchors in arrays, as long as the text allows."""
-        fields = ["anchor", "first_start", "last_start", "gram"]
+    def by_text(self, rows: DataFrame, fields: list[str]) -> DataFrame:
+        """One row per text: its anchors or ranges in arrays, no longer than the text."""
         listed = rows.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("a"))
         return listed.select("k1", "k2", *(F.col(f"a.{f}").alias(f) for f in fields))
 
@@ -259,81 +259,88 @@ class Repeats:
 
         return dealt.mapInArrow(join_runs, "run long, entry long, total long, shared int, lead boolean")
 
-    def window_hashes(self, chosen: DataFrame, span: int) -> DataFrame:
-        """Hashes over the windows of some anchors: per group of ``span`` windows of what they have in common
-        (kind 0) and of all their bytes (kind 1); with a span of 1 both are the window. Groups begin at
-        multiples of ``span`` from the anchor, so that equal windows are grouped alike."""
-        size = self.size
+    def group_hashes(self, chosen: DataFrame) -> DataFrame:
+        """Two names for each group of ``span`` neighbouring windows of the chosen anchors: of what all its
+        windows share (c1, c2) and of all its bytes (u1, u2). Groups begin at multiples of ``span`` from the
+        anchor, so that equal windows are grouped alike; what they share doesn't depend on where the
+        anchor's windows end, their bytes do."""
+        size, span = self.size, self.span
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 k1, k2 = (batch.column(c).to_numpy() for c in ("k1", "k2"))
-                lists = [_array(batch.column(c), np.int64) for c in ("anchor", "first_start", "last_start")]
+                lists = [_array(batch.column(c), np.int64) for c in ("anchor", "first_start", "last_start", "alone")]
                 for i, t in enumerate(batch.column("text")):
                     data = np.frombuffer(t.as_py().encode(), np.uint8)
-                    at, first, last = (x[i] for x in lists)
+                    at, first, last, alone = (x[i] for x in lists)
                     low, high = (first - at) // span, (last - at) // span
                     n = high - low + 1
                     which = np.repeat(np.arange(len(at)), n)
                     group = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[which]
-                    begin = np.maximum(group * span + at[which], first[which])
-                    end = np.minimum(group * span + span - 1 + at[which], last[which])
+                    nominal = group * span + at[which]
+                    begin = np.maximum(nominal, first[which])
+                    end = np.minimum(nominal + span - 1, last[which])
                     rolls = Rolling(data, 0), Rolling(data, 1)
-                    # What all windows of a group share doesn't depend on where the anchor's windows end; the
-                    # bytes of those that are there do. Place and length beside the anchor are part of the name.
-                    inner = group * span + span - 1 + at[which], group * span + at[which] + size
-                    outer = begin, end + size
-                    marks = group, (begin - at[which]) * 1024 + (end - begin)
-                    for kind in range(1 if span == 1 else 2):
-                        a, b = (inner, outer)[kind]
-                        mark = marks[kind].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(np.full(len(a), k1[i])),
-                                pa.array(np.full(len(a), k2[i])),
-                                pa.array(begin.astype(np.int32)),
-                                pa.array(end.astype(np.int32)),
-                                pa.array(at[which].astype(np.int32)),
-                                pa.array(np.full(len(a), kind, np.int8)),
-                                pa.array((rolls[0].at(a, b) + mark).view(np.int64)),
-                                pa.array((rolls[1].at(a, b) ^ mark).view(np.int64)),
-                            ],
-                            ["k1", "k2", "begin", "end", "anchor", "kind", "h1", "h2"],
-                        )
+                    # Place and length beside the anchor are part of a name.
+                    marks = [x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for x in (group, (begin - at[which]) * 1024 + (end - begin))]
+                    core = [r.at(nominal + span - 1, nominal + size) ^ marks[0] for r in rolls]
+                    union = [r.at(begin, end + size) ^ marks[1] for r in rolls]
+                    columns = [np.full(len(begin), k1[i]), np.full(len(begin), k2[i]), begin.astype(np.int32), end.astype(np.int32), alone[which].astype(bool)]
+                    columns += [h.view(np.int64) for h in (*core, *union)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k1", "k2", "begin", "end", "alone", "c1", "c2", "u1", "u2"])
+
+        rows = self.with_text(chosen).select("k1", "k2", "text", "anchor", "first_start", "last_start", "alone")
+        return rows.mapInArrow(run, "k1 long, k2 long, begin int, end int, alone boolean, c1 long, c2 long, u1 long, u2 long")
+
+    def window_hashes(self, ranges: DataFrame) -> DataFrame:
+        """k1, k2, begin, h1, h2: every window that starts in the ranges (arrays begin, end) of a text."""
+        size = self.size
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                k1, k2 = (batch.column(c).to_numpy() for c in ("k1", "k2"))
+                begins, ends = (_array(batch.column(c), np.int64) for c in ("begin", "end"))
+                for i, t in enumerate(batch.column("text")):
+                    data = np.frombuffer(t.as_py().encode(), np.uint8)
+                    starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(begins[i], ends[i])])
+                    hashes = [Rolling(data, w).at(starts, starts + size).view(np.int64) for w in (0, 1)]
+                    columns = [np.full(len(starts), k1[i]), np.full(len(starts), k2[i]), starts.astype(np.int32), *hashes]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k1", "k2", "begin", "h1", "h2"])
 
-        rows = self.with_text(chosen).select("k1", "k2", "text", "anchor", "first_start", "last_start")
-        return rows.mapInArrow(run, "k1 long, k2 long, begin int, end int, anchor int, kind byte, h1 long, h2 long")
+        rows = self.with_text(ranges).select("k1", "k2", "text", "begin", "end")
+        return rows.mapInArrow(run, "k1 long, k2 long, begin int, h1 long, h2 long")
 
     def repeated_windows(self) -> DataFrame:
         """k1, k2, begin, end: ranges of window starts whose windows start elsewhere too."""
         chosen = written(self.repeated_anchors(), "chosen")
         runs = written(self.runs(chosen), "runs")
         found = written(self.merge(runs), "merged")
-        places = runs.select("run", F.explode(F.arrays_zip("entries", "k1", "k2", "first_start", "last_start", "anchor", "gram")).alias("p"))
-        places = places.select("run", F.col("p.entries").cast("long").alias("entry"), *(f"p.{c}" for c in ("k1", "k2", "first_start", "last_start", "anchor", "gram")))
+        fields = ["k1", "k2", "anchor", "first_start", "last_start", "gram"]
+        places = runs.select("run", F.explode(F.arrays_zip("entries", *fields)).alias("p"))
+        places = places.select("run", F.col("p.entries").cast("long").alias("entry"), *(f"p.{c}" for c in fields))
         judged = written(places.join(found, ["run", "entry"]), "judged")
         whole = judged.where("total > 1").select("k1", "k2", F.col("first_start").alias("begin"), F.col("last_start").alias("end"))
         covered = F.least(F.col("last_start"), F.col("first_start") + F.col("shared") - self.size)
         part = judged.where((F.col("total") == 1) & (F.col("shared") >= self.size)).select("k1", "k2", F.col("first_start").alias("begin"), covered.alias("end"))
 
         # Suffixes not shared as a whole, and one of each set of equals that has the same anchor text.
-        alone = judged.where("total = 1")
-        open_grams = written(alone.groupBy("gram").agg(F.count("*").alias("n")).select("gram"), "open")
-        partners = judged.where("total > 1 and lead").groupBy("run", "entry", "gram").agg(
-            *(F.min_by(c, F.struct("k1", "k2", "first_start")).alias(c) for c in ("k1", "k2", "anchor", "first_start", "last_start"))
-        )
-        fields = ["k1", "k2", "anchor", "first_start", "last_start", "gram"]
-        asked = alone.select(*fields).unionByName(partners.join(open_grams, "gram", "left_semi").select(*fields))
-        groups = written(self.window_hashes(self.by_text(asked), self.span), "groups")
-        counted = groups.groupBy("kind", "h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("kind", "h1", "h2")
-        twice = written(groups.join(written(counted, "counted"), ["kind", "h1", "h2"]), "twice")
-        same = twice.where("kind = 1").select("k1", "k2", "begin", "end")
-        mixed = twice.where("kind = 0").select("k1", "k2", "begin", "end", "anchor")
-        # Groups found equal as a whole stay in, as partners of others.
-        single = mixed.select("k1", "k2", "anchor", F.col("begin").alias("first_start"), F.col("end").alias("last_start"), F.lit(0).cast("long").alias("gram"))
-        windows = written(self.window_hashes(self.by_text(single), 1), "windows")
-        again = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-        ones = windows.join(written(again, "again"), ["h1", "h2"]).select("k1", "k2", "begin", "end")
+        alone = judged.where("total = 1").select(*fields, F.lit(1).alias("alone"))
+        open_grams = written(alone.select("gram").distinct(), "open")
+        partners = judged.where("total > 1 and lead").groupBy("run", "entry", "gram").agg(*(F.first(c).alias(c) for c in fields[:-1]))
+        partners = partners.join(open_grams, "gram", "left_semi").select(*fields, F.lit(0).alias("alone"))
+        asked = self.by_text(alone.unionByName(partners), ["anchor", "first_start", "last_start", "alone"])
+        groups = written(self.group_hashes(asked), "groups")
+        # Equal groups are one from here on, with a place to read them at.
+        names = ["c1", "c2", "u1", "u2"]
+        place = ["k1", "k2", "begin", "end"]
+        distinct = written(groups.groupBy(*names).agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in place)), "distinct")
+        same = groups.where("alone").select(*place, *names).join(distinct.where("n > 1").select(*names), names).select(*place)
+        # Windows that share their core with others that aren't the same group.
+        several = written(distinct.groupBy("c1", "c2").agg(F.count("*").alias("m")).where("m > 1").select("c1", "c2"), "several")
+        mixed = distinct.join(several, ["c1", "c2"]).select(*place)
+        windows = written(self.window_hashes(self.by_text(mixed, ["begin", "end"])), "windows")
+        again = written(windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"), "again")
+        ones = windows.join(again, ["h1", "h2"]).select("k1", "k2", "begin", F.col("begin").alias("end"))
         return whole.unionByName(part).unionByName(same).unionByName(ones)
 
     def spans(self) -> DataFrame:
