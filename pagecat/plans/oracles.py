@@ -252,7 +252,8 @@ DIFFS = """diffs AS (
     ('species', a.species, b.species)) AS u(field, old_value, new_value)
   WHERE u.old_value <> u.new_value)"""
 
-DIFFS_BY_RUN = """diffs_by_run AS (
+DIFFS_BY_RUN = f"""{DIFFS},
+diffs_by_run AS (
   SELECT CAST((row - 1) % 3 AS VARCHAR) AS run, (row - 1) // 3 + 1 AS row, dataset_url, kind, field,
     old_value, new_value
   FROM diffs WHERE row <> 3)"""

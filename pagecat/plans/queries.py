@@ -451,7 +451,7 @@ def parse_size(spark, d):
         _table(spark, d, "lineitem")
         .select(text.alias("size_text"))
         .withColumn("parsed", parsed)
-        .select("size_text", "parsed.human", F.col("parsed.bytes").alias("size_bytes"))
+        .select("size_text", "parsed.human", F.col("parsed.bytes").cast("bigint").alias("size_bytes"))
     )
 
 
