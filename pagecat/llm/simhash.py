@@ -134,10 +134,11 @@ def links(fps: DataFrame) -> DataFrame:
     """a, b: links between distinct fingerprints that connect all those within four bits of each other."""
     spark = fps.sparkSession
     entries = written(postings(fps), "postings")
-    # Lists of one entry link nothing. Both sides are plain tables, so a hot list can be split at run time.
+    # Lists of one entry link nothing. Both sides are plain tables, so a hot list can be split at run time;
+    # the join is the same at every size.
     sizes = written(entries.groupBy("list").agg(F.count("*").alias("n")).where("n > 1"), "lists")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    member = entries.join(sizes, "list").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    member = entries.join(sizes.hint("merge"), "list").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = member.select("list", "fp", "own", other.alias("other")).select(
         "list", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "fp"
