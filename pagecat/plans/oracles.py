@@ -809,7 +809,7 @@ def all_oracles() -> dict[str, str]:
             BY_USER,
             query="SELECT event_id, printf('%.2fs', micros / 1000000.0::DOUBLE) AS duration FROM ev",
         ),
-        "stream_ingest": _with(FX1, FX1_FIRST, query="SELECT run, dataset_url FROM recs"),
+        "stream_ingest": _with(FX1, FX1_FIRST, query=f"{listing} FROM recs"),
         "catalogue_flow": _with(
             *FX2_ALL,
             query="""SELECT c.dataset_url, microscope, date_published, c.files_found_count, c.file_extraction_status,

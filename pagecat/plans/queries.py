@@ -665,7 +665,7 @@ def stream_ingest(spark, d):
     pages_in, out = scratch_path(spark, "pages-in"), scratch_path(spark, "records-out")
     fixtures.listing_pages(spark, d).repartition("run", "page_num").write.parquet(pages_in)
     ingest.stream_pages(spark, pages_in, out, scratch_path(spark, "checkpoint")).awaitTermination()
-    return spark.read.parquet(out).select("run", "dataset_url")
+    return spark.read.parquet(out).select(*listing.ORDER, "dataset_name", "dataset_url", *listing.METADATA)
 
 
 def catalogue_flow(spark, d):

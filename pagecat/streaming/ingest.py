@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pagecat import rules
-from pagecat.operators.listing import listing_entries, listing_records
+from pagecat.operators.listing import dedup_first_seen, listing_entries, listing_records
 from pagecat.schemas import PAGES
 
 
@@ -17,26 +18,22 @@ def page_stream(spark: SparkSession, in_dir: str, files_per_batch: int = 1000) -
     )
 
 
-def new_records(
-    pages: DataFrame,
-    include: str = rules.DATASET_LINK,
-    exclude: str = rules.LISTING_LINK,
-    salts: int = 32,
+def first_records(
+    pages: DataFrame, include: str = rules.DATASET_LINK, exclude: str = rules.LISTING_LINK
 ) -> DataFrame:
-    """Records of a stream of pages, each URL of a run emitted once.
+    """Records of some pages, each URL of a run once: its first copy by page and position."""
+    return dedup_first_seen(listing_records(listing_entries(pages, include), include, exclude))
 
-    A URL may be linked from every page. Its rows are first deduplicated within ``salts`` slices of
-    the pages, so the second step sees it at most ``salts`` times ever and no task sees all of them.
-    State grows with the distinct URLs and is kept on disk (see session.tune).
-    """
-    records = listing_records(listing_entries(pages, include), include, exclude)
-    salt = F.pmod(F.xxhash64("page_num"), F.lit(salts)).cast("int")
-    return (
-        records.withColumn("salt", salt)
-        .dropDuplicates(["run", "dataset_url", "salt"])
-        .drop("salt")
-        .dropDuplicates(["run", "dataset_url"])
-    )
+
+def earlier_keys(spark: SparkSession, out_dir: str, batch_id: int) -> DataFrame | None:
+    """Run and URL of all records that other batches wrote; None before the first one."""
+    try:
+        written = spark.read.parquet(out_dir)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return written.where(F.col("batch") != batch_id).select("run", "dataset_url")
 
 
 def stream_pages(
@@ -48,13 +45,31 @@ def stream_pages(
     exclude: str = rules.LISTING_LINK,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Read all page files there are and stop; run again for new ones. Exactly-once file sink."""
-    records = new_records(page_stream(spark, in_dir, files_per_batch), include, exclude)
+    """Read all page files there are and stop; run again for new ones.
+
+    Within a batch the first copy of a URL by page and position wins, as in a batch job; URLs of earlier
+    batches are left out by an anti join on their keys. The dedup is an aggregate, so a URL on every page
+    shrinks in the tasks first. A batch writes its own partition and overwrites it if it runs again, so
+    every record is written once.
+    """
+
+    def write(pages: DataFrame, batch_id: int) -> None:
+        records = first_records(pages, include, exclude)
+        earlier = earlier_keys(pages.sparkSession, out_dir, batch_id)
+        if earlier is not None:
+            records = records.join(earlier, ["run", "dataset_url"], "left_anti")
+        (
+            records.withColumn("batch", F.lit(batch_id).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch")
+            .parquet(out_dir)
+        )
+
     return (
-        records.writeStream.format("parquet")
-        .option("path", out_dir)
+        page_stream(spark, in_dir, files_per_batch)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

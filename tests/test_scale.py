@@ -67,8 +67,10 @@ def test_dedup_shrinks_before_the_shuffle(spark, entries):
 def test_windows_see_bounded_blocks(spark, entries):
     rows = listing.dedup_first_seen(listing.listing_records(entries))
     text = plan(listing.page_stats(rows, entries))
-    for partition in re.findall(r"windowspecdefinition\((.*?)ASC", text):
-        assert "run" in partition and "block" in partition
+    windows = [w.split(" ASC")[0] for w in re.findall(r"windowspecdefinition\((.*?)specifiedwindowframe", text)]
+    names = [[c.split("#")[0].strip() for c in w.split(",")] for w in windows]
+    # Pages in order within a block of a run; blocks in order within a run, one for 1,024 pages.
+    assert sorted(set(map(tuple, names))) == [("run", "block"), ("run", "block", "page_num")]
 
 
 def test_hot_key_of_a_lookup_is_split_at_run_time(spark):
