@@ -38,10 +38,12 @@ SPAN = 16
 # Bytes of suffixes that one run sorts at a time, and suffixes in a written piece of a run.
 RUN_BYTES = 32 << 20
 PIECE = 2000
+# One string in so many is a candidate for a splitter; of these some per partition are drawn.
+SAMPLE_EVERY = 64
 SPLITTERS_SAMPLED = 40
 
 _PIECES = (
-    "run long, base long, first binary, shared array<int>, lengths array<int>, rests binary, entries array<int>,"
+    "run long, base long, samples array<binary>, shared array<int>, lengths array<int>, rests binary, entries array<int>,"
     " k1 array<long>, k2 array<long>, first_start array<int>, last_start array<int>, anchor array<int>, gram array<long>"
 )
 
@@ -134,7 +136,7 @@ class Repeats:
                     [
                         pa.array([run_id], pa.int64()),
                         pa.array([base], pa.int64()),
-                        pa.array([some[0]], pa.binary()),
+                        pa.array([some[SAMPLE_EVERY // 2 :: SAMPLE_EVERY] or [some[len(some) // 2]]], pa.list_(pa.binary())),
                         pa.array([shared], pa.list_(pa.int32())),
                         pa.array([lengths], pa.list_(pa.int32())),
                         pa.array([rests], pa.binary()),
@@ -173,8 +175,10 @@ class Repeats:
         """run, entry, total, shared, lead: for each suffix of a run how many places have it in all runs, the
         longest prefix it shares with a neighbour in sorted order, and whether it leads its equals."""
         spark, width = self.spark, self.width
-        sample = sorted(bytes(r[0]) for r in runs.select("first").orderBy(F.xxhash64("first", "run", "base")).limit(SPLITTERS_SAMPLED * width).collect())
         # A bounded sample: some strings per partition, whatever the input's size.
+        candidates = runs.select("run", "base", F.posexplode("samples").alias("i", "s"))
+        drawn = candidates.orderBy(F.xxhash64("s", "run", "base", "i")).limit(SPLITTERS_SAMPLED * width)
+        sample = sorted(bytes(r[0]) for r in drawn.select("s").collect())
         splitters = spark.sparkContext.broadcast(sorted({sample[len(sample) * k // width] for k in range(1, width)}) if sample else [])
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
