@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagecat.llm.common import id_text, reachable, written
+from pagecat.llm.common import dropped, id_text, reachable, written
 from pagecat.llm.suffixes import Rolling, anchors, common_prefix, decoded, front_coded, merged
 
 SIZE = 400
@@ -63,6 +63,7 @@ class Repeats:
         self.width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         text = F.coalesce(F.col("text"), F.lit(""))
         self.keyed = docs.withColumns({"llm_k1": F.xxhash64(text), "llm_k2": F.xxhash64(F.lit("second"), text)})
+        self.tables: list[DataFrame] = []
         self.name = f"llm_texts_{uuid.uuid4().hex}"
         once = self.keyed.groupBy(F.col("llm_k1").alias("k1"), F.col("llm_k2").alias("k2")).agg(F.count("*").alias("copies"), F.first(text).alias("text"))
         # The aggregate deals by the same hash into as many parts as there are buckets: no second exchange.
@@ -71,7 +72,19 @@ class Repeats:
     def texts(self) -> DataFrame:
         return self.spark.read.table(self.name)
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """Written to the shared folder until ``clear``."""
+        out = written(df, name)
+        self.tables.append(out)
+        return out
+
+    def clear(self) -> None:
+        """Remove the tables between the steps."""
+        while self.tables:
+            dropped(self.tables.pop())
+
     def close(self) -> None:
+        self.clear()
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
     def anchor_rows(self) -> DataFrame:
@@ -102,8 +115,8 @@ class Repeats:
 
     def repeated_anchors(self) -> DataFrame:
         """k1, k2 and arrays of the anchors whose hash occurs twice or more."""
-        rows = written(self.anchor_rows(), "anchors")
-        twice = written(rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
+        rows = self.stored(self.anchor_rows(), "anchors")
+        twice = self.stored(rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
         return self.by_text(rows.join(twice, "gram"), ["anchor", "first_start", "last_start", "gram"])
 
     def by_text(self, rows: DataFrame, fields: list[str]) -> DataFrame:
@@ -316,34 +329,34 @@ class Repeats:
 
     def repeated_windows(self) -> DataFrame:
         """k1, k2, begin, end: ranges of window starts whose windows start elsewhere too."""
-        chosen = written(self.repeated_anchors(), "chosen")
-        runs = written(self.runs(chosen), "runs")
-        found = written(self.merge(runs), "merged")
+        chosen = self.stored(self.repeated_anchors(), "chosen")
+        runs = self.stored(self.runs(chosen), "runs")
+        found = self.stored(self.merge(runs), "merged")
         fields = ["k1", "k2", "anchor", "first_start", "last_start", "gram"]
         places = runs.select("run", F.explode(F.arrays_zip("entries", *fields)).alias("p"))
         places = places.select("run", F.col("p.entries").cast("long").alias("entry"), *(f"p.{c}" for c in fields))
-        judged = written(places.join(found, ["run", "entry"]), "judged")
+        judged = self.stored(places.join(found, ["run", "entry"]), "judged")
         whole = judged.where("total > 1").select("k1", "k2", F.col("first_start").alias("begin"), F.col("last_start").alias("end"))
         covered = F.least(F.col("last_start"), F.col("first_start") + F.col("shared") - self.size)
         part = judged.where((F.col("total") == 1) & (F.col("shared") >= self.size)).select("k1", "k2", F.col("first_start").alias("begin"), covered.alias("end"))
 
         # Suffixes not shared as a whole, and one of each set of equals that has the same anchor text.
         alone = judged.where("total = 1").select(*fields, F.lit(1).alias("alone"))
-        open_grams = written(alone.select("gram").distinct(), "open")
+        open_grams = self.stored(alone.select("gram").distinct(), "open")
         partners = judged.where("total > 1 and lead").groupBy("run", "entry", "gram").agg(*(F.first(c).alias(c) for c in fields[:-1]))
         partners = partners.join(open_grams, "gram", "left_semi").select(*fields, F.lit(0).alias("alone"))
         asked = self.by_text(alone.unionByName(partners), ["anchor", "first_start", "last_start", "alone"])
-        groups = written(self.group_hashes(asked), "groups")
+        groups = self.stored(self.group_hashes(asked), "groups")
         # Equal groups are one from here on, with a place to read them at.
         names = ["c1", "c2", "u1", "u2"]
         place = ["k1", "k2", "begin", "end"]
-        distinct = written(groups.groupBy(*names).agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in place)), "distinct")
+        distinct = self.stored(groups.groupBy(*names).agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in place)), "distinct")
         same = groups.where("alone").select(*place, *names).join(distinct.where("n > 1").select(*names), names).select(*place)
         # Windows that share their core with others that aren't the same group.
-        several = written(distinct.groupBy("c1", "c2").agg(F.count("*").alias("m")).where("m > 1").select("c1", "c2"), "several")
+        several = self.stored(distinct.groupBy("c1", "c2").agg(F.count("*").alias("m")).where("m > 1").select("c1", "c2"), "several")
         mixed = distinct.join(several, ["c1", "c2"]).select(*place)
-        windows = written(self.window_hashes(self.by_text(mixed, ["begin", "end"])), "windows")
-        again = written(windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"), "again")
+        windows = self.stored(self.window_hashes(self.by_text(mixed, ["begin", "end"])), "windows")
+        again = self.stored(windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"), "again")
         ones = windows.join(again, ["h1", "h2"]).select("k1", "k2", "begin", F.col("begin").alias("end"))
         return whole.unionByName(part).unionByName(same).unionByName(ones)
 
@@ -377,6 +390,7 @@ class Repeats:
         bytes, also the spans and the kept bytes. Written, after which the stored texts are removed."""
         size = self.size
         spans = written(self.spans(), "spans")
+        self.clear()
         kind = "k1 long, k2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
         if not digest_only:
             kind += ", spans array<struct<begin: int, end: int>>, kept binary"
