@@ -230,7 +230,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> Da
     classes = near_duplicates(named, shingle=shingle, seed=seed)
     # The smallest id can only be repeated where rows share an id.
     kept = written(classes.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
-    single = named.join(kept.where("n = 1"), "doc_id", "left_semi")
-    shared = named.join(kept.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"])
-    return single.unionByName(shared).unionByName(nameless)
+    out = named.join(kept.where("n = 1"), "doc_id", "left_semi")
+    if not kept.where("n > 1").isEmpty():
+        out = out.unionByName(named.join(kept.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return out.unionByName(docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"]))
