@@ -10,8 +10,10 @@ encoded once per batch, and batches are balanced by bytes.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,20 +51,22 @@ def safe_parts(text: str) -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def _ids(path: str) -> dict[str, list[int]]:
-    return {}
+def _ids(path: str) -> tuple[dict[str, array], list[str]]:
+    return {}, []
 
 
-def part_ids(path: str, texts: list[list[str]]) -> dict[str, list[int]]:
-    """Token ids of every part of some texts, encoding those not yet known as one batch."""
-    model, known = piece_encoder(path), _ids(path)
+def part_ids(path: str, texts: list[list[str]]) -> dict[str, array]:
+    """Token ids (16 bits) of at least every part of some texts; parts not yet known are one batch."""
+    model, (known, long) = piece_encoder(path), _ids(path)
+    for p in long:
+        known.pop(p, None)
+    long.clear()
     if len(known) > REMEMBERED:
         known.clear()
-    fresh = list({p for parts in texts for p in parts}.difference(known))
-    ids = dict(zip(fresh, model.encode(fresh, num_threads=1)))
-    found = {p: known[p] for parts in texts for p in parts if p in known} | ids
-    known.update((p, i) for p, i in ids.items() if len(p) <= LONG_PART)
-    return found
+    fresh = list(set(chain.from_iterable(texts)).difference(known))
+    known.update(zip(fresh, (array("H", i) for i in model.encode(fresh, num_threads=1))))
+    long += [p for p in fresh if len(p) > LONG_PART]
+    return known
 
 
 @lru_cache(maxsize=2)

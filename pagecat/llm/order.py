@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,8 @@ from pagecat.llm.counts import part_ids, safe_parts
 
 LENGTH = 2048
 PER_SHARD = 4096
+# Sequences compressed together before they are dealt out.
+TOGETHER = 32
 ROUNDS = 6
 END = 2  # the end-of-text id of the vocabulary
 PADDING = 0
@@ -64,25 +67,24 @@ def slots(numbers: np.ndarray, total: int, key: int) -> np.ndarray:
 
 
 def _squeezed(ids: np.ndarray) -> bytes:
-    """Ids of 16 bits as two planes of bytes, compressed, for what is moved and stored in between."""
+    """Ids of 16 bits, compressed for what is moved and stored in between."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(ids.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(ids.astype("<u2").tobytes())
 
 
-def _expanded(data: bytes, length: int) -> bytes:
+def _expanded(data: bytes) -> bytes:
     import zstandard
 
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(2, length)
-    return np.ascontiguousarray(planes.T).tobytes()
+    return zstandard.ZstdDecompressor().decompress(data)
 
 
 def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
-    """part, at, doc_ids, n_tokens, ids: the packed sequences of every task, in order."""
+    """part, at, doc_ids, n_tokens, ids: the packed sequences of every task, in order, some to a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        ids: list[int] = []
+        ids = array("H")
         owners: list[tuple[int, int | None]] = []  # place in ids where a text begins, its doc_id
         at = 0
 
@@ -95,15 +97,24 @@ def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFram
                 inside = [d for k, (p, d) in enumerate(owners) if p < end and (k + 1 == len(owners) or owners[k + 1][0] > begin)]
                 values = np.full(length, PADDING, np.uint16)
                 values[: end - begin] = ids[begin:end]
-                rows.append((part, at, inside, end - begin, _squeezed(values)))
-                at += 1
+                rows.append((inside, end - begin, values))
                 begin = end
                 owners = [(p, d) for k, (p, d) in enumerate(owners) if k + 1 == len(owners) or owners[k + 1][0] > begin]
             ids = ids[begin:]
             owners = [(max(0, p - begin), d) for p, d in owners] if ids else []
-            if rows:
-                kinds = (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(map(list, zip(*rows)), kinds)], ["part", "at", "doc_ids", "n_tokens", "ids"])
+            for k in range(0, len(rows), TOGETHER):
+                inside, sizes, values = zip(*rows[k : k + TOGETHER])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([part], pa.int32()),
+                        pa.array([at], pa.int64()),
+                        pa.array([list(inside)], pa.list_(pa.list_(pa.int64()))),
+                        pa.array([list(sizes)], pa.list_(pa.int32())),
+                        pa.array([_squeezed(np.concatenate(values))], pa.binary()),
+                    ],
+                    ["part", "at", "doc_ids", "n_tokens", "ids"],
+                )
+                at += len(sizes)
 
         for batch in batches:
             held, first = 0, 0
@@ -125,7 +136,7 @@ def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFram
                 held, first = 0, i + 1
         yield from cut(True)
 
-    return id_text(docs).mapInArrow(run, "part int, at long, doc_ids array<long>, n_tokens int, ids binary")
+    return id_text(docs).mapInArrow(run, "part int, at long, doc_ids array<array<long>>, n_tokens array<int>, ids binary")
 
 
 def materialised(
@@ -142,7 +153,7 @@ def materialised(
     spark = docs.sparkSession
     folder = folder or scratch(spark, "shards")
     rows = written(sequences(docs, tokenizer, length), "sequences")
-    ends = {r["part"]: r["n"] for r in rows.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one per task
+    ends = {r["part"]: r["n"] for r in rows.groupBy("part").agg(F.sum(F.size("n_tokens")).alias("n")).collect()}  # one per task
     starts, total = {}, 0
     for part in sorted(ends):
         starts[part] = total
@@ -151,13 +162,21 @@ def materialised(
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base = np.array([shared.value[p] for p in batch.column(0).to_pylist()], np.int64)
-            number = base + batch.column(1).to_numpy()
-            slot = slots(number, total, key)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(slot // per_shard), pa.array(number), *batch.columns[2:]],
-                ["slot", "shard", "number", "doc_ids", "n_tokens", "ids"],
-            )
+            for row in batch.to_pylist():
+                block = np.frombuffer(_expanded(row["ids"]), "<u2").reshape(-1, length)
+                number = np.arange(len(block)) + shared.value[row["part"]] + row["at"]
+                slot = slots(number, total, key)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(slot),
+                        pa.array(slot // per_shard),
+                        pa.array(number),
+                        pa.array(row["doc_ids"], pa.list_(pa.int64())),
+                        pa.array(row["n_tokens"], pa.int32()),
+                        pa.array([_squeezed(x) for x in block], pa.binary()),
+                    ],
+                    ["slot", "shard", "number", "doc_ids", "n_tokens", "ids"],
+                )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
@@ -176,7 +195,7 @@ def materialised(
                     system.create_dir(root, recursive=True)
                     shard, temporary = s, f"{root}/.shard-{s:08d}-{uuid.uuid4().hex}"
                     out = system.open_output_stream(temporary)
-                record = _expanded(ids.as_py(), length)
+                record = _expanded(ids.as_py())
                 out.write(record)
                 hashes.append(hashlib.sha256(record).hexdigest())
                 paths.append(f"shard-{s:08d}.bin")
