@@ -218,19 +218,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     classes = written(rooted.join(least, "root").select("fp", "component_id"), "classes")
     return rows.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """All columns of one document of each class of near duplicates: the one with the smallest doc_id.
-
-    Where rows share that doc_id one of them stays. Rows without a doc_id are compared among themselves
-    only by their text: one of each text stays.
-    """
-    named = docs.where(F.col("doc_id").isNotNull())
-    classes = near_duplicates(named, shingle=shingle, seed=seed)
-    # The smallest id can only be repeated where rows share an id.
-    kept = written(classes.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
-    out = named.join(kept.where("n = 1"), "doc_id", "left_semi")
-    if not kept.where("n > 1").isEmpty():
-        out = out.unionByName(named.join(kept.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return out.unionByName(docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"]))

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from pagecat.llm import decontaminate, repeats, simhash, suffixes
+from pagecat.llm import decontaminate, minhash, repeats, simhash, suffixes
 from tests.llm import helpers
 
 
@@ -152,6 +152,37 @@ def test_links_connect_dense_groups(spark, monkeypatch, block):
     assert edges.count() < 70 * len(signed)
 
 
+def plain_shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def plain_similarity(a, b):
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("block", [2048, 7])
+def test_near_duplicates_like_brute_force_jaccard(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rnd = random.Random(7)
+    texts = [helpers.prose(rnd, n) for n in (1, 4, 5, 6, 60, 150, 400)]
+    for length, copies in ((80, 40), (300, 25), (1500, 8)):
+        base = helpers.prose(rnd, length).split()
+        for _ in range(copies):
+            words = list(base)
+            for _ in range(rnd.randint(0, length // 30)):
+                words[rnd.randrange(length)] = helpers.prose(rnd, 3)
+            texts.append(" ".join(words))
+    docs = helpers.table(spark, helpers.texts() + [(t, "aa") for t in texts])
+    named = {r.doc_id: r.text for r in docs.collect() if r.doc_id is not None}
+    sets = {i: plain_shingles(t) for i, t in named.items()}
+    root = reachable(sorted(named), lambda a, b: plain_similarity(sets[a], sets[b]) >= 0.8)
+    kept = [r.doc_id for r in minhash.one_of_each(docs, 5).collect() if r.doc_id is not None]
+    assert sorted(kept) == sorted({min(i for i in root if root[i] == k) for k in root.values()})
+    far = [(a, b) for a in named for b in named if a < b and plain_similarity(sets[a], sets[b]) >= 0.8 and bin(plain_fingerprint(named[a], 5) ^ plain_fingerprint(named[b], 5)).count("1") > simhash.BITS]
+    assert far and minhash.one_of_each(docs.where("doc_id < 0"), 5).count() == 0
+
+
 def plain_words(text):
     import regex
 
