@@ -20,15 +20,23 @@ from pagecat.llm.common import by_bytes, written
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\x0c\r"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-# Measure: least distance of the upper and of the lower threshold from the median (None: no such threshold).
+# Measure: least distance of the upper and of the lower threshold from the median, for groups of hardly
+# any spread (None: no such threshold).
 MARGINS: dict[str, tuple[float | None, float | None]] = {
     "word_length": (1.5, 1.5),
     "symbol_share": (0.1, None),
-    "dup_line_share": (0.35, None),
-    "repeat_share": (0.45, None),
+    "dup_line_share": (0.05, None),
+    "repeat_share": (0.05, None),
+}
+# Tail of each measure, and how many times as far from the median as its quantile the threshold lies. Up to
+# a tail of unusual rows does not move a threshold, so measures of junk, which can fill a source, take a wide one.
+SPREAD = 4.0
+TAILS: dict[str, tuple[float, float]] = {
+    "word_length": (0.15, SPREAD),
+    "symbol_share": (0.15, SPREAD),
+    "dup_line_share": (0.01, 1.0),
+    "repeat_share": (0.01, 1.0),
 }
-# Thresholds lie this many times the distance from the median to the quartile on the calmer side.
-SPREAD = 6.0
 # Rows a group needs before its own sketch is used.
 LEAST_ROWS = 200
 
@@ -115,16 +123,15 @@ def thresholds(rows: DataFrame) -> DataFrame:
         for m in names
     }
     chosen = joined.select("lang", "source", *(s.alias(m) for m, s in sketch.items()))
-    quartiles = chosen.select("lang", "source", *(F.kll_sketch_get_quantile_double(m, F.lit(q)).alias(f"{m}_{k}") for m in names for k, q in (("a", 0.25), ("b", 0.5), ("c", 0.75))))
+    quantiles = chosen.select("lang", "source", *(F.kll_sketch_get_quantile_double(m, F.lit(q)).alias(f"{m}_{k}") for m in names for k, q in (("a", TAILS[m][0]), ("b", 0.5), ("c", 1 - TAILS[m][0]))))
     out = ["lang", "source"]
     for m, (up, down) in MARGINS.items():
         a, b, c = (F.col(f"{m}_{k}") for k in "abc")
-        calm = SPREAD * F.least(b - a, c - b)
         if up is not None:
-            out.append((b + F.greatest(calm, F.lit(up))).alias(f"{m}_high"))
+            out.append((b + F.greatest(TAILS[m][1] * (c - b), F.lit(up))).alias(f"{m}_high"))
         if down is not None:
-            out.append((b - F.greatest(calm, F.lit(down))).alias(f"{m}_low"))
-    return quartiles.select(*out)
+            out.append((b - F.greatest(TAILS[m][1] * (b - a), F.lit(down))).alias(f"{m}_low"))
+    return quantiles.select(*out)
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:

@@ -136,6 +136,21 @@ def test_quality_verdicts(spark):
     assert quality.judged(helpers.table(spark, [])).count() == 0
 
 
+def test_verdict_depends_on_the_source(spark):
+    rnd = random.Random(5)
+
+    def lines(copies):
+        out = []
+        for k in range(8):
+            out += [helpers.prose(rnd, 10)] + ["More"] * (k < copies)
+        return "\n".join(out)
+
+    rows = [(k, lines(2 + k % 4), "aa", "lists") for k in range(300)] + [(k, lines(0), "aa", "prose") for k in range(300, 600)] + [(600, lines(4), "aa", "prose")]
+    got = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert got[2].kept and sum(got[k].kept for k in range(300)) > 280
+    assert got[600].reasons == ["dup_line_share_high"] and all(got[k].kept for k in range(300, 600))
+
+
 def test_thresholds_like_exact_quantiles(spark):
     rnd = random.Random(4)
     docs = helpers.table(spark, [(helpers.prose(rnd, rnd.randint(60, 90), "aa"), "aa") for _ in range(700)])
