@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagecat.llm import bpe, counts, decontaminate, html, language, order, quality, repeats, simhash, toxicity
+from pagecat.llm import (
+    bpe,
+    counts,
+    decontaminate,
+    html,
+    language,
+    neighbours,
+    order,
+    quality,
+    repeats,
+    simhash,
+    toxicity,
+    vafile,
+    whitening,
+)
 from pagecat.llm.common import fold, table
 
 
@@ -60,6 +74,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_training_order": op1_training_order,
@@ -72,4 +98,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_bpe": op9_bpe,
         "op10_decontaminate": op10_decontaminate,
+        "op11_clustering": op11_clustering,
+        "op12_whitening": op12_whitening,
+        "op13_near_vectors": op13_near_vectors,
     }
