@@ -318,14 +318,17 @@ def stop_pages(rows: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def apply_stop_rule(rows: DataFrame, pages: DataFrame, salts: int = 32) -> DataFrame:
-    """Keep the records a crawl would have reached: those before the page it stops at.
+    """Keep the records a crawl would have reached; ``rows`` are deduplicated."""
+    return before_stops(rows, stop_pages(rows, pages), salts)
 
-    ``rows`` are deduplicated. A run may hold a third of all records, so its rows are spread over
-    ``salts`` keys; the other side is one narrow row per run, cheap to repeat.
+
+def before_stops(rows: DataFrame, stops: DataFrame, salts: int = 32) -> DataFrame:
+    """Records before the page their run stops at, (run, stop); all of runs that don't stop.
+
+    A run may hold a third of all records, so its rows are spread over ``salts`` keys; the other side
+    is one narrow row per run, cheap to repeat.
     """
-    stops = stop_pages(rows, pages).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    stops = stops.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("dataset_url"), F.lit(salts)).cast("int"))
     return (
         salted.join(stops, ["run", "salt"], "left")

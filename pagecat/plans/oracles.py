@@ -809,6 +809,13 @@ def all_oracles() -> dict[str, str]:
             BY_USER,
             query="SELECT event_id, printf('%.2fs', micros / 1000000.0::DOUBLE) AS duration FROM ev",
         ),
+        "stream_stop_rule": _with(
+            FX1,
+            FX1_FIRST,
+            FX1_COUNTS,
+            stop,
+            query=f"{listing} FROM recs LEFT JOIN stops USING (run) WHERE stop IS NULL OR page_num < stop",
+        ),
         "stream_ingest": _with(FX1, FX1_FIRST, query=f"{listing} FROM recs"),
         "catalogue_flow": _with(
             *FX2_ALL,

@@ -18,7 +18,7 @@ from pagecat.operators import embedded, enrich, files, listing, quality, runs, s
 from pagecat.plans import fixtures, flow
 from pagecat.session import scratch_path, stage, tune
 from pagecat.sources import io
-from pagecat.streaming import ingest
+from pagecat.streaming import ingest, stops
 
 REPORT_TIME = "2024-01-01T00:00:00"
 
@@ -668,6 +668,18 @@ def stream_ingest(spark, d):
     return spark.read.parquet(out).select(*listing.ORDER, "dataset_name", "dataset_url", *listing.METADATA)
 
 
+def stream_stop_rule(spark, d):
+    """Pages in three waves, neither in order; the records before the page each run stops at in the end."""
+    pages_in, out = scratch_path(spark, "pages-in"), scratch_path(spark, "stops-out")
+    pages = stage(fixtures.listing_pages(spark, d), "listing-pages")
+    for wave in range(3):
+        some = pages.where(F.pmod(F.xxhash64("run", "page_num"), F.lit(3)) == wave)
+        some.repartition("run", "page_num").write.mode("append").parquet(pages_in)
+        stops.stream_stops(spark, pages_in, out)
+    first = listing.dedup_first_seen(listing.listing_records(listing.listing_entries(pages)))
+    return listing.before_stops(first, stops.stops(spark, out))
+
+
 def catalogue_flow(spark, d):
     """Records, enriched, with files, checked against their pages: status of every record."""
     checked = _checked_catalogue(spark, d)
@@ -759,6 +771,7 @@ _PLAIN = [
     stage_status,
     stage_durations,
     stream_ingest,
+    stream_stop_rule,
     catalogue_flow,
 ]
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. Time zone: dates and timestamps are compared as text in UTC.
 # Skew join: a join whose two sides are plain shuffles splits a hot partition at run time.
-# RocksDB: the set of URLs already seen by a stream outgrows executor heap.
+# RocksDB: the URLs already seen by a stream outgrow executor heap; of each batch only the changes are saved.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -16,6 +16,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 # Settings only a new session takes. Operators build large expressions, and recording a call site
