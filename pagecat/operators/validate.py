@@ -336,21 +336,19 @@ def report_rows(results: DataFrame, index: str = "row_idx") -> DataFrame:
 
 
 def validation_report(
-    coded_counts: DataFrame, consistency: DataFrame, timestamp: Column
+    coded_counts: DataFrame, consistency: DataFrame, timestamp: Column, by: tuple[str, ...] = ()
 ) -> DataFrame:
     """Report header and summary numbers as nested rows, one per row of coded status counts.
 
+    ``by`` names the groups that have a consistency check of their own; without it there is one for all.
     The single results stay a table of their own (``url_status``), as they grow with the records.
     """
-    kept = [
-        c
-        for c in coded_counts.columns
-        if c not in ("total_datasets", "verified", "mismatched", "warnings", "failed_urls", "exit_code")
-    ]
+    numbers = ("total_datasets", "verified", "mismatched", "warnings", "failed_urls", "exit_code")
+    kept = [c for c in coded_counts.columns if c not in numbers]
     file_part = consistency.select(
-        F.struct("passed", "json_count", "excel_count", "mismatch_count").alias("file_consistency")
+        *by, F.struct("passed", "json_count", "excel_count", "mismatch_count").alias("file_consistency")
     )
-    return coded_counts.crossJoin(file_part).select(  # one row on the right
+    return _sides(coded_counts, file_part, by, "left").select(
         *kept,
         timestamp.cast("string").alias("validation_timestamp"),
         "total_datasets",
@@ -367,8 +365,16 @@ def report_view(reports: DataFrame, form: str = "summary") -> DataFrame:
     return reports
 
 
-def issues_only(results: DataFrame) -> DataFrame:
-    """Results with a problem, and their total on every row. They are written, then counted."""
-    bad = stage(results.where(F.col("status").isin("mismatched", "warning", "failed")), "issues")
-    total = bad.agg(F.count(F.lit(1)).alias("total_issues"))
-    return bad.crossJoin(total)  # one row on the right
+def issue_expr() -> Column:
+    """True for a result with a problem."""
+    return F.col("status").isin("mismatched", "warning", "failed")
+
+
+def issues_only(results: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Results with a problem, and their total, over all or per ``by``, on every row.
+
+    They are written, then counted.
+    """
+    bad = stage(results.where(issue_expr()), "issues")
+    total = bad.groupBy(*by).agg(F.count(F.lit(1)).alias("total_issues"))
+    return _sides(bad, total, by, "left")

@@ -398,6 +398,7 @@ def all_oracles() -> dict[str, str]:
 
     listing = f"SELECT run, page_num, pos, dataset_name, dataset_url, {', '.join(BASE_FIELDS[2:])}"
     table_rows = "FROM rows WHERE in_table AND n_cells >= 2"
+    stored = "CASE run WHEN '2' THEN 'validation_report_2024-01-01' ELSE 'validation_report_2024-01-02' END || '_00-00-00.json'"
     stop = (
         "stops AS (SELECT run, min(page_num) AS stop FROM (SELECT run, page_num, "
         "sum(new_records) OVER w AS s, count(*) OVER w AS c FROM counts "
@@ -450,6 +451,43 @@ def all_oracles() -> dict[str, str]:
             "(SELECT count(*) FROM part) AS excel_count, (SELECT count(DISTINCT row) FROM diffs) AS mismatch_count "
             "FROM results GROUP BY run",
         ),
+        "report_summary": _with(
+            COPIES,
+            DIFFS_BY_RUN,
+            CONSISTENT_BY_RUN,
+            CHECKED,
+            query=f"SELECT run, {stored} AS report, '{REPORT_TIME}' AS validation_timestamp, count(*) AS total_datasets, "
+            f"c.passed, c.json_count, c.excel_count, c.mismatch_count, {_STATUS_COUNTS} "
+            "FROM results JOIN consistent c USING (run) GROUP BY ALL",
+        ),
+        "report_full": _with(
+            COPIES,
+            DIFFS_BY_RUN,
+            CONSISTENT_BY_RUN,
+            CHECKED,
+            query=f"""SELECT run, {stored} AS report, count(*) OVER w AS total_datasets, c.passed,
+              CAST(CASE WHEN run = '1' THEN 2
+                WHEN NOT c.passed OR count(*) FILTER (status IN ('mismatched', 'failed')) OVER w > 0 THEN 1 ELSE 0 END
+                AS INTEGER) AS exit_code, dataset_url, dataset_name, status, n_differences
+            FROM results JOIN consistent c USING (run) WINDOW w AS (PARTITION BY run)""",
+        ),
+        "report_issues": _with(
+            COPIES,
+            DIFFS_BY_RUN,
+            CONSISTENT_BY_RUN,
+            CHECKED,
+            query=f"""SELECT run, {stored} AS report, c.passed AS file_consistency_passed,
+              count(*) OVER (PARTITION BY run) AS total_issues, dataset_url, status
+            FROM results JOIN consistent c USING (run) WHERE status <> 'verified'""",
+        ),
+        "stored_artifacts": """
+          SELECT CAST(k AS VARCHAR) AS run, false AS has_url, false AS has_html, true AS has_json, k % 2 = 0 AS has_sheet,
+            CAST(CASE k WHEN 0 THEN 0 WHEN 2 THEN 2 ELSE 1 END AS BIGINT) AS report_files,
+            CASE k WHEN 0 THEN NULL WHEN 2 THEN 'validation_report_2024-02-01.json'
+              ELSE 'validation_report_2024-01-0' || k || '.json' END AS latest_report,
+            k = 2 AS enrichment_completed, k % 2 = 0 AS scrape_completed, k > 0 AS validation_completed,
+            CASE WHEN k % 2 = 0 THEN n END AS datasets_count
+          FROM (SELECT p_partkey % 4 AS k, count(*) AS n FROM part GROUP BY 1)""",
         "replace_stage": _with(
             ORD,
             ORD_RECORDS,
@@ -692,6 +730,7 @@ def all_oracles() -> dict[str, str]:
           SELECT false AS passed, count(*) AS json_count, count(*) - 1 AS excel_count, 'count_mismatch' AS type,
             'Entry count mismatch: JSON has ' || count(*) || ', Excel has ' || (count(*) - 1) AS message FROM part""",
         "row_diff": _with(COPIES, DIFFS, query="SELECT * FROM diffs"),
+        "row_diff_files": _with(COPIES, DIFFS, query="SELECT * FROM diffs"),
         "row_diff_by_run": _with(
             COPIES,
             DIFFS_BY_RUN,
@@ -755,6 +794,11 @@ def all_oracles() -> dict[str, str]:
             CHECKED,
             query="SELECT dataset_url, status, count(*) OVER () AS total_issues FROM results WHERE status <> 'verified'",
         ),
+        "issues_by_run": _with(
+            CHECKED,
+            query="SELECT run, dataset_url, status, count(*) OVER (PARTITION BY run) AS total_issues FROM results "
+            "WHERE status <> 'verified'",
+        ),
         "field_completion": _with(*FX2_ALL, query=_completion_rows("catalogue", tests)),
         "field_statistics": _with(
             ORD,

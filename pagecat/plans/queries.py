@@ -17,7 +17,7 @@ from pagecat.functions.values import stage_status_expr
 from pagecat.operators import embedded, enrich, files, listing, quality, runs, sections, validate
 from pagecat.plans import fixtures, flow
 from pagecat.session import scratch_path, stage, tune
-from pagecat.sources import io
+from pagecat.sources import io, reports
 from pagecat.streaming import ingest, stops
 
 REPORT_TIME = "2024-01-01T00:00:00"
@@ -132,13 +132,79 @@ def replace_stage(spark, d):
 def latest_report(spark, d):
     """Three reports, each of one run less: every run's newest is another one."""
     path = scratch_path(spark, "reports")
-    reports = stage(_reports(spark, d), "report-rows")
+    rows = stage(_reports(spark, d), "report-rows")
     for day, last in (("2024-01-01", "2"), ("2024-01-02", "1"), ("2024-01-03", "0")):
-        io.write_report(reports.where(F.col("run") <= last), path, f"{day}_00-00-00")
+        io.write_report(rows.where(F.col("run") <= last), path, f"{day}_00-00-00")
     newest = validate.report_view(io.latest_report(spark, path), "full")
     return newest.select("run", "report", "total_datasets", "url_validation.*", "exit_code")
 
 
+def _stored_reports(spark, d) -> str:
+    """Three runs, each with its own consistency check, stored with their results; two of them once more."""
+    path = scratch_path(spark, "report-store")
+    results = stage(_results(spark, d), "results")
+    checks = stage(validate.consistency_summary(*_copies_by_run(spark, d), by=("run",)), "consistency")
+    counts = validate.status_counts(results, ["run"])
+    pages = results.select("run").where("run <> '1'")
+    coded = validate.exit_code(counts, checks, pages, by=("run",))
+    header = stage(validate.validation_report(coded, checks, F.lit(REPORT_TIME), by=("run",)), "report-rows")
+    for day, last in (("2024-01-01", "2"), ("2024-01-02", "1")):
+        mine = F.col("run") <= last
+        reports.store(header.where(mine), results.where(mine), path, f"{day}_00-00-00")
+    return path
+
+
+def report_summary(spark, d):
+    found = reports.summary(spark, _stored_reports(spark, d))
+    return found.select("run", "report", "validation_timestamp", "total_datasets", "file_consistency.*", "url_validation.*")
+
+
+def report_full(spark, d):
+    found = reports.full(spark, _stored_reports(spark, d))
+    return found.select(
+        "run", "report", "total_datasets", "file_consistency.passed", "exit_code", "dataset_url", "dataset_name", "status",
+        F.size("differences").alias("n_differences"),
+    )
+
+
+def report_issues(spark, d):
+    found = reports.issues(spark, _stored_reports(spark, d))
+    return found.select("run", "report", "file_consistency_passed", "total_issues", "dataset_url", "status")
+
+
+def issues_by_run(spark, d):
+    return validate.issues_only(_results(spark, d), by=("run",)).select("run", "dataset_url", "status", "total_issues")
+
+
+def stored_artifacts(spark, d):
+    """Files of four runs, some without sheet, report or enriched records, found again by their paths."""
+    path = scratch_path(spark, "artifacts")
+    records = stage(fixtures.copy_a(spark, d).withColumn("run", (F.col("row_idx") % 4).cast("string")), "artifact-rows")
+    for run in range(4):
+        mine = records.where(F.col("run") == str(run)).drop("run")
+        base = f"{path}/{run}"
+        io.write_records(mine, f"{base}/output/Data-{run}.json")
+        if run % 2 == 0:
+            io.write_tabular(mine, f"{base}/output/Data-{run}.csv", ["row_idx", *schemas.BASE_FIELDS])
+        if run:
+            io.write_records(mine.limit(1), f"{base}/reports/validation_report_2024-01-0{run}.json")
+        if run == 2:
+            io.write_records(mine.limit(1), f"{base}/reports/validation_report_2024-02-01.json")
+            io.write_records(mine.limit(5), f"{base}/enriched/Data-{run}-Enriched.json")
+    return io.artifact_inventory(io.list_artifacts(spark, path), io.artifact_records(spark, path))
+
+
+def row_diff_files(spark, d):
+    """Two written copies without row numbers, JSON lines and a flat file, compared by their places."""
+    base = scratch_path(spark, "copies")
+    schema = schemas.BASE_RECORD
+    io.write_records(fixtures.copy_a(spark, d).orderBy("row_idx").drop("row_idx"), f"{base}/a")
+    io.write_tabular(fixtures.copy_b(spark, d).orderBy("row_idx"), f"{base}/b", schemas.BASE_FIELDS)
+    a = io.read_records(spark, f"{base}/a", schema, lines=True, index="row_idx")
+    b = io.read_tabular(spark, f"{base}/b", schema, index="row_idx")
+    return validate.row_diff(a, b).select("row", "dataset_url", F.inline("differences"))
+
+
 def artifact_inventory(spark, d):
     day = F.date_format("ts", "yyyyMMdd")
     run = F.concat(F.col("user_id").cast("string"), F.lit("-"), day)
@@ -704,6 +770,10 @@ _PLAIN = [
     replace_stage,
     latest_report,
     artifact_inventory,
+    stored_artifacts,
+    report_summary,
+    report_full,
+    report_issues,
     url_params,
     url_set_page,
     listing_urls,
@@ -749,6 +819,7 @@ _PLAIN = [
     count_check,
     row_diff,
     consistency_summary,
+    row_diff_files,
     row_diff_by_run,
     consistency_by_run,
     exit_code_by_run,
@@ -762,6 +833,7 @@ _PLAIN = [
     validation_exit,
     report_rows,
     issues_only,
+    issues_by_run,
     field_completion,
     field_statistics,
     catalog_summary,

@@ -117,6 +117,10 @@ EMBEDDED_DOC = embedded_doc()
 
 DIFFERENCE = T.StructType(strings("field", "severity", "scraped_value", "actual_value", "message"))
 
+URL_RESULT = T.StructType(
+    [*strings("dataset_url", "dataset_name", "status"), T.StructField("differences", T.ArrayType(DIFFERENCE))]
+)
+
 VALIDATION_REPORT = T.StructType(
     [
         *strings("run", "validation_timestamp"),

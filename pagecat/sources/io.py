@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagecat.schemas import PAGES, VALIDATION_REPORT
+from pagecat.session import stage
 
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType = PAGES) -> DataFrame:
@@ -27,22 +28,57 @@ def _blank_nulls(df: DataFrame) -> DataFrame:
     return df.na.fill("")
 
 
+def numbered_rows(read: DataFrame, index: str) -> DataFrame:
+    """Rows just read from files, with their position: files by name, rows of a file in its order.
+
+    Spark reads a file in splits, a split's rows in order and by one task. The rows are written once with
+    their split and Spark's own row id; a row's position is its place in the split plus the rows of all
+    splits before. Only the splits, a row each, are ever sorted in one task.
+    """
+    split = ["_file", "_start"]
+    marked = read.select(
+        *read.columns,
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    rows = stage(marked, "rows")
+    splits = rows.groupBy(*split).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    before = splits.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    position = (F.col("_before") + F.col("_id") - F.col("_first")).alias(index)
+    return rows.join(before, split).select(position, *read.columns)
+
+
 def read_records(
-    spark: SparkSession, path: str, schema: T.StructType, lines: bool = False, blanks: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    lines: bool = False,
+    blanks: bool = True,
+    index: str | None = None,
 ) -> DataFrame:
     """Records in JSON: a pretty-printed array per file, or one object per line.
 
     A missing key becomes '', or stays null without ``blanks``, where it must not pass for a blank.
+    ``index`` names a column for the position of a record, counted from 0 over all files.
 
     A file with an array is read by one task; large catalogues come as lines, which split.
     """
     records = spark.read.schema(schema).option("multiLine", not lines).json(path)
+    if index:
+        records = numbered_rows(records, index)
     return _blank_nulls(records) if blanks else records
 
 
-def read_tabular(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The flat copy with a fixed schema; N/A stays text, blank cells become ''."""
-    return _blank_nulls(
+def read_tabular(
+    spark: SparkSession, path: str, schema: T.StructType, index: str | None = None
+) -> DataFrame:
+    """The flat copy with a fixed schema; N/A stays text, blank cells become ''.
+
+    ``index`` names a column for the position of a row, counted from 0 over all files.
+    """
+    cells = (
         spark.read.schema(schema)
         .option("header", True)
         .option("quote", '"')
@@ -51,6 +87,7 @@ def read_tabular(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
+    return _blank_nulls(numbered_rows(cells, index) if index else cells)
 
 
 def write_records(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
@@ -65,12 +102,16 @@ def column_order(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 def write_tabular(df: DataFrame, path: str, order: list[str]) -> bool:
-    """Flat copy in a fixed column order; nothing is written for an empty input."""
-    if df.isEmpty():
+    """Flat copy in a fixed column order; nothing is written for an empty input.
+
+    The rows are worked out once, into a stage, which also tells whether there are any.
+    """
+    cells = stage(column_order(df, order), "cells")
+    if cells.isEmpty():
         return False
-    column_order(df, order).write.mode("overwrite").option("header", True).option("quote", '"').option(
-        "escape", '"'
-    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    cells.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(path)
     return True
 
 
@@ -109,14 +150,38 @@ def latest_report(spark: SparkSession, path: str) -> DataFrame:
     return stored.groupBy("run").agg(newest.alias("r")).select("run", "r.*")
 
 
+# The folders of a run.
+RUN_FOLDERS = "input|output|reports|enriched"
+
+
 def list_artifacts(spark: SparkSession, path: str) -> DataFrame:
-    """Paths of all files under a folder; their content is never read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", "length", "modificationTime")
+    """(run, path) of all artifacts under a folder that holds one folder per run.
+
+    The run is the folder above ``input``, ``output``, ``reports`` or ``enriched``; files elsewhere are left
+    out. What Spark wrote as a folder of parts is one artifact. No content is read.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    place = rf"^(.*/([^/]+)/(?:{RUN_FOLDERS})/[^/]+)(?:/[^/]*)?$"
+    found = listed.select(
+        F.regexp_extract("path", place, 2).alias("run"), F.regexp_extract("path", place, 1).alias("path")
     )
+    return found.where("run <> ''").distinct()
+
+
+def artifact_records(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """(run, datasets_count): records in the scraped JSON of every run under a folder.
+
+    Rows are counted by file, without any of their values; an array counts its elements. A run whose JSON
+    can't be read as records has no row.
+    """
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    if lines:
+        rows = files.text(path).where(F.trim("value") != "")
+    else:
+        rows = files.schema("dataset_url string").option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+    place = r"^(.*/([^/]+)/output/[^/]+[.]json)(?:/[^/]*)?$"
+    run = F.regexp_extract(F.col("_metadata.file_path"), place, 2)
+    return rows.select(run.alias("run")).where("run <> ''").groupBy("run").agg(F.count(F.lit(1)).alias("datasets_count"))
 
 
 def _artifact_kind(path: Column) -> Column:
@@ -137,8 +202,8 @@ def _artifact_kind(path: Column) -> Column:
 def artifact_inventory(files: DataFrame, record_counts: DataFrame | None = None) -> DataFrame:
     """Per run: which artifacts exist, which stages are complete, newest report, record count.
 
-    ``files`` has (run, path); ``record_counts`` has (run, datasets_count). Paths of a run shrink to
-    one row per map task before the shuffle.
+    ``files`` has (run, path), as ``list_artifacts`` gives them; ``record_counts`` has (run,
+    datasets_count). Paths of a run shrink to one row per map task before the shuffle.
     """
     kind = _artifact_kind(F.col("path"))
 

@@ -192,6 +192,6 @@ def test_loose_pages_and_artifacts(spark, tmp_path):
     pages.mkdir()
     (pages / "a.html").write_text("<p>one\ntwo</p>")
     assert io.read_page_files(spark, str(pages)).first().html == "<p>one\ntwo</p>"
-    listed = io.list_artifacts(spark, f"{tmp_path}/out").withColumn("run", F.lit("r1"))
+    listed = io.list_artifacts(spark, f"{tmp_path}/out")
     got = io.artifact_inventory(listed).first()
     assert (got.scrape_completed, got.validation_completed, got.has_html) == (True, False, False)
