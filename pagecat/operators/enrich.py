@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagecat.functions.values import date_published_expr, donor_count_expr
 from pagecat.operators.embedded import embedded_json
-from pagecat.operators.joins import lookup_join, one_per_key
+from pagecat.operators.joins import best_lookup, rank_expr
 from pagecat.operators.sections import body_fields_expr, first_value_expr
 from pagecat.schemas import IMAGING_FIELDS, NEW_FIELDS, embedded_doc
 
@@ -83,9 +83,8 @@ def enrich(records: DataFrame, pages: DataFrame) -> DataFrame:
     The outcome is ok where the record has a page. Of several copies of a page one with a readable
     document is taken.
     """
-    prefer = F.struct("has_doc", F.xxhash64(*NEW_FIELDS))
-    fields = one_per_key(page_fields(pages), "dataset_url", prefer)
-    joined = lookup_join(records, fields, "dataset_url")
+    rank = rank_expr(F.col("has_doc").cast("int"), *map(F.col, NEW_FIELDS))
+    joined = best_lookup(records, page_fields(pages), "dataset_url", rank)
     return joined.select(
         *records.columns,
         *filled_fields(),

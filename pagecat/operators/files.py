@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagecat.functions.files import file_name_expr, file_type_expr, human_size_expr
 from pagecat.operators.embedded import embedded_json
-from pagecat.operators.joins import lookup_join, one_per_key
+from pagecat.operators.joins import best_lookup, rank_expr
 from pagecat.schemas import FILE, embedded_doc
 
 # Fixed value: the one set that, where present, is the whole list.
@@ -116,9 +116,8 @@ def attach_files(records: DataFrame, files: DataFrame) -> DataFrame:
     several copies of a page the longest list is taken.
     """
     nested = files if "files" in files.columns else nest_files(files)
-    prefer = F.struct(F.coalesce(F.size("files"), F.lit(0)), F.xxhash64("files"))
-    best = one_per_key(nested.select("dataset_url", "files"), "dataset_url", prefer)
-    joined = lookup_join(records.drop("files"), best, "dataset_url")
+    rank = rank_expr(F.coalesce(F.size("files"), F.lit(0)), F.col("files"))
+    joined = best_lookup(records.drop("files"), nested.select("dataset_url", "files"), "dataset_url", rank)
     return joined.select(*[c for c in records.columns if c != "files"], *file_columns())
 
 

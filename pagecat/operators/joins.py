@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagecat.session import stage
+
 
 def one_per_key(df: DataFrame, key: str, prefer: Column) -> DataFrame:
     """One row per key: the one with the greatest ``prefer``. Copies shrink before the shuffle."""
@@ -24,3 +26,27 @@ def lookup_join(records: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     left = records.withColumn("_key_hash", F.xxhash64(key))
     right = lookup.withColumn("_key_hash", F.xxhash64(key))
     return left.join(right, [key, "_key_hash"], "left").drop("_key_hash")
+
+
+def rank_expr(merit: Column, *tie: Column) -> Column:
+    """One number that orders copies of a page: by merit (at most 2^45), equal ones by their content.
+
+    A decimal has a fixed size, so copies are compared by a hash aggregate, which need not sort them.
+    """
+    apart = F.xxhash64(*tie).cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+    return (merit.cast("decimal(14,0)") * F.lit(str(1 << 64)).cast("decimal(20,0)") + apart).cast("decimal(38,0)")
+
+
+def best_lookup(records: DataFrame, facts: DataFrame, key: str, rank: Column) -> DataFrame:
+    """Left join of records to the copy of each key's facts with the greatest ``rank`` (``rank_expr``).
+
+    Facts are wide, so they are written once and shuffled once, to the records of the copy that won:
+    copies of a key are told apart by (key, rank, row number) alone, which shrink before their shuffle, and
+    the winner's number goes to the records by ``lookup_join``. A key that holds a third of the records, and
+    records without any facts, are split at run time or spread by hash.
+    """
+    numbered = stage(facts.withColumns({"_rank": rank, "_row": F.monotonically_increasing_id()}), "facts")
+    best = numbered.groupBy(key).agg(F.max_by("_row", "_rank").alias("_row"))
+    none = -1 - F.pmod(F.xxhash64(*records.columns), F.lit(1 << 20))
+    placed = lookup_join(records, best, key).withColumn("_row", F.coalesce("_row", none))
+    return placed.join(numbered.drop(key, "_rank"), "_row", "left").drop("_row")

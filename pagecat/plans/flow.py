@@ -6,14 +6,14 @@ keeps what a lost executor would otherwise have to crawl through again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagecat import rules
 from pagecat.operators.embedded import embedded_json
 from pagecat.operators.enrich import document_fields, filled_fields, outcome_expr
 from pagecat.operators.files import file_columns, files_expr
-from pagecat.operators.joins import lookup_join, one_per_key
+from pagecat.operators.joins import best_lookup, rank_expr
 from pagecat.operators.listing import apply_stop_rule, dedup_first_seen, listing_records
 from pagecat.operators.validate import (
     compared_columns,
@@ -36,26 +36,24 @@ def crawl_records(
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
-    """All that is ever read off a detail page, in one pass over the HTML; one row per url.
-
-    Of several copies the one with a readable document, most files and most said wins.
-    """
+    """All that is ever read off a detail page, in one pass over the HTML; one row per page."""
     told = told_by_page(pages.select(F.col("url").alias("dataset_url"), "html"))
     facts = document_fields(embedded_json(told)).withColumn(
         "files", files_expr(F.col("doc.props.pageProps.filesetMap"))
     )
-    prefer = F.struct(
-        "has_doc",
-        F.coalesce(F.size("files"), F.lit(0)),
-        filled_count_expr(F.col("page")),
-        F.xxhash64("page", "files"),
-    )
-    return one_per_key(facts.drop("doc"), "dataset_url", prefer)
+    return facts.drop("doc")
+
+
+def facts_rank() -> Column:
+    """Of several copies of a page the one with a readable document, most files and most said wins."""
+    many = F.coalesce(F.size("files"), F.lit(0)).cast("long")
+    merit = F.col("has_doc").cast("long") * (1 << 40) + many * (1 << 8) + filled_count_expr(F.col("page"))
+    return rank_expr(merit, F.col("page"), F.col("files"))
 
 
 def catalogue(records: DataFrame, pages: DataFrame) -> DataFrame:
-    """Records enriched, with files, and checked against their pages: one scan, one join."""
-    joined = lookup_join(records, page_facts(pages), "dataset_url")
+    """Records enriched, with files, and checked against their pages: one scan, one wide shuffle."""
+    joined = best_lookup(records, page_facts(pages), "dataset_url", facts_rank())
     return url_status(
         joined.select(
             *records.columns,

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from pagecat.operators import enrich, listing, quality, validate
+from pagecat import session
+from pagecat.operators import enrich, files, joins, listing, quality, validate
 from pagecat.operators.joins import lookup_join, one_per_key
 from pagecat.plans import fixtures, flow
 
@@ -37,13 +38,57 @@ def test_no_query_leaves_the_jvm_or_pairs_rows(spark):
         assert not re.search(r"Python|Pandas|CartesianProduct", text), name
 
 
-def test_a_page_is_scanned_and_parsed_once(spark, detail):
+@pytest.fixture
+def no_broadcast(spark):
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for k in names:
+        spark.conf.set(k, "-1")
+    yield
+    for k in names:
+        spark.conf.unset(k)
+
+
+@pytest.fixture
+def staged(monkeypatch):
+    """Plans of the tables written on the way."""
+    plans = []
+    monkeypatch.setattr(joins, "stage", lambda df, name: plans.append(plan(df)) or session.stage(df, name))
+    return plans
+
+
+def test_a_page_is_scanned_and_parsed_once(spark, detail, staged):
     records = fixtures.order_records(spark, SF_DIR)
-    text = plan(flow.catalogue(records, detail))
+    text = plan(flow.catalogue(records, detail)) + "".join(staged)
     assert len(re.findall(r"ReadSchema: struct<url:string,html:string>", text)) == 1
     assert text.count("from_json(") == 1
 
 
+
+@pytest.mark.parametrize("build", [flow.catalogue, enrich.enrich, lambda r, p: files.attach_files(r, files.page_files(p))], ids=["catalogue", "enrich", "files"])
+def test_facts_are_shuffled_and_sorted_once(spark, detail, staged, no_broadcast, build):
+    text = plan(build(fixtures.order_records(spark, SF_DIR), detail))
+    assert "Exchange" not in "".join(staged) and "Sort" not in "".join(staged)
+    # The side of the last join that reads the facts: scan, one exchange, one sort, nothing else.
+    wide = text[text.rindex("SortMergeJoin [_row") :] if "SortMergeJoin [_row" in text else text
+    assert text.count("Exchange hashpartitioning(_row#") == 2  # records with the winner's number, and the facts
+    narrow = [n for n in re.findall(r"ReadSchema: struct<(.*?)>\n", text + "\n") if n.startswith("dataset_url:string,_rank:")]
+    assert narrow == ["dataset_url:string,_rank:decimal(38,0),_row:bigint"]  # all that copies are compared by
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text and "partial_max_by(_row" in text
+    assert wide.count("Sort [_row#") == 2
+
+
+def test_best_copy_wins_and_hot_keys_are_split(spark, staged):
+    n = F.col("id")
+    records = spark.range(3000).select(F.when(n % 3 == 0, "hot").when(n % 3 == 1, "none").otherwise(n.cast("string")).alias("k"), n.alias("own"))
+    facts = spark.range(3000).select(F.when(n % 3 == 0, "hot").otherwise(n.cast("string")).alias("k"), (n % 7).alias("good"), F.array(n).alias("files"))
+    rank = joins.rank_expr(F.col("good"), F.col("files"))
+    out = joins.best_lookup(records, facts, "k", rank).collect()
+    assert len(out) == 3000 and {r.good for r in out if r.k == "hot"} == {6}
+    assert len({tuple(r.files) for r in out if r.k == "hot"}) == 1
+    assert all(r.files is None for r in out if r.k == "none")
+    assert all(r.files == [int(r.k)] for r in out if r.k.isdigit())
+
+
 def test_only_needed_columns_are_read(spark, entries):
     rows = listing.dedup_first_seen(listing.listing_records(entries))
     schemas = re.findall(r"ReadSchema: struct<(.*?)>\n", plan(listing.new_per_page(rows, entries)) + "\n")
