@@ -61,11 +61,14 @@ def simhash(hashes: str) -> Column:
 
 
 def similarity(a: str, b: str) -> Column:
-    """Weighted Jaccard similarity of two arrays of shingles: a shingle weighs as often as it occurs."""
-    return F.expr(
-        f"aggregate(array_distinct({a}), 0, (n, x) -> n + least(size(filter({a}, y -> y = x)), size(filter({b}, y -> y = x))),"
-        f" n -> n / cast(size({a}) + size({b}) - n as double))"
-    )
+    """Weighted Jaccard similarity of two arrays of shingles: a shingle weighs as often as it occurs.
+
+    Where one array has no repeat, each shared shingle weighs one, and the arrays meet by hash.
+    """
+    plain = f"size(array_distinct({a})) = size({a}) or size(array_distinct({b})) = size({b})"
+    counted = f"aggregate(array_distinct({a}), 0, (n, x) -> n + least(size(filter({a}, y -> y = x)), size(filter({b}, y -> y = x))))"
+    both = F.expr(f"case when {plain} then size(array_intersect({a}, {b})) else {counted} end")
+    return both / (F.size(a) + F.size(b) - both).cast("double")
 
 
 def block_keys(fp: Column, near: int) -> Column:
@@ -123,11 +126,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item
     once = windows.groupBy("m", "k1", "k2").agg(F.first("words").alias("words"))
     prints = once.withColumn("hashes", shingle_hashes("words")).withColumn("fp", simhash("hashes"))
     prints = written(prints.select("m", "k1", "k2", "words", "fp"), "prints")
-    item_prints = items.select("item_id", "m", F.col("words").alias("item_words"), simhash("hashes").alias("item_fp"))
-    index = item_prints.select("item_id", "m", "item_words", "item_fp", F.inline(block_keys(F.col("item_fp"), NEAR)))
-    asked = prints.select("m", "k1", "k2", "words", "fp", F.inline(block_keys(F.col("fp"), 0)))
-    close = asked.join(index, ["m", "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
-    pairs = close.groupBy("m", "k1", "k2", "item_id").agg(F.first("words").alias("words"), F.first("item_words").alias("item_words"))
+    # The index has hundreds of rows per item, so it holds no words, and is shuffled like the windows: Spark
+    # would take it for as small as the items.
+    index = items.select("item_id", "m", simhash("hashes").alias("item_fp"))
+    index = index.select("item_id", "m", "item_fp", F.inline(block_keys(F.col("item_fp"), NEAR)))
+    asked = prints.select("m", "k1", "k2", "fp", F.inline(block_keys(F.col("fp"), 0)))
+    close = asked.join(index.hint("merge"), ["m", "block", "value"])
+    close = close.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS).select("m", "k1", "k2", "item_id").distinct()
+    pairs = close.join(prints.select("m", "k1", "k2", "words"), ["m", "k1", "k2"])
+    pairs = pairs.join(items.select("item_id", "m", F.col("words").alias("item_words")), ["item_id", "m"])
     pairs = pairs.select("m", "k1", "k2", "item_id", shingles("words").alias("a"), shingles("item_words").alias("b"))
     verified = pairs.withColumn("similarity", similarity("a", "b")).where(F.col("similarity") >= SIMILAR)
     verified = written(verified.select("m", "k1", "k2", "item_id", "similarity"), "verified")
