@@ -35,7 +35,9 @@ BLOCK_TAGS = frozenset(
     " footer form h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main menu nav ol optgroup option p pre section"
     " select summary table tbody td tfoot th thead title tr ul".split()
 )
-RAW_TAGS = ("script", "style", "noscript", "template", "textarea", "svg", "math", "iframe", "object", "head", "title")
+# Elements whose content is no text of the page. They stand inside a line and end no block.
+RAW_TAGS = ("script", "style", "noscript", "template", "iframe", "title")
+DRAWINGS = ("svg",)
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTENT_TAGS = frozenset(["article", "main"])
 ASIDE_TAGS = frozenset(["nav", "footer", "aside", "form", "menu", "button", "select", "dialog", "fieldset", "label", "option", "address"])
@@ -50,6 +52,8 @@ CONTENT_WORDS = frozenset("article articlebody body content entry main post stor
 
 _PIECES = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW_TAGS) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|(?=<body\b)|\Z)"
+    # A drawing that is closed in its own tag, or never, is a tag without content.
+    r"|<(?P<drawing>" + "|".join(DRAWINGS) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?</(?P=drawing)\s*>"
     r"|<[!?][^>]*>|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.I | re.S,
 )
@@ -119,8 +123,6 @@ def blocks(page: str | None) -> list[Block]:
         at = m.end()
         tag = m["tag"]
         if tag is None:
-            if m["raw"]:
-                end_block()
             continue
         tag = tag.lower()
         if tag not in BLOCK_TAGS:
@@ -140,7 +142,8 @@ def blocks(page: str | None) -> list[Block]:
         # Elements that end where the next of their kind begins.
         if stack and (stack[-1][0] == "p" or (tag == stack[-1][0] and tag in ("li", "td", "th", "tr", "dt", "dd", "option"))):
             stack.pop()
-        if tag not in VOID_TAGS and not m["rest"].rstrip().endswith("/"):
+        # What follows a head that nothing closes is no part of it: a head is never an ancestor.
+        if tag not in VOID_TAGS and tag != "head" and not m["rest"].rstrip().endswith("/"):
             names = _names(m["rest"]) if "=" in m["rest"] else set()
             stack.append((tag, not names.isdisjoint(ASIDE_WORDS), not names.isdisjoint(CONTENT_WORDS)))
     add(page[at:])
