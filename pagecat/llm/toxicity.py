@@ -32,9 +32,7 @@ DRIFT = 0.5
 PRIOR = 50.0
 # Chance occurrences a significant segment may have in its text.
 SIGNIFICANT = 0.1
-# The broadcast model: tokens beyond this many, by least certain log-odds, are left out of the fit.
-MOST_TOKENS = 500_000
-# Labels the fit takes at most (16 bytes each in a broadcast).
+# Labels the fit takes at most (16 bytes each in a broadcast). They and Z bound the tokens that are scored.
 MOST_LABELS = 1_000_000
 BINS = 400
 HIGHEST = 100.0
@@ -214,7 +212,7 @@ def _logistic(values: np.ndarray, toxic: np.ndarray, other: np.ndarray) -> tuple
 def fit(rows: DataFrame) -> Model:
     """The model from all labelled rows (text, toxic 0/1); texts aren't null."""
     rows = written(rows, "labelled")  # read three times
-    tokens = token_scores(written(token_tallies(rows), "tallies")).orderBy(F.abs("score").desc(), "token").limit(MOST_TOKENS).collect()
+    tokens = token_scores(written(token_tallies(rows), "tallies")).collect()
     model = Model({r["token"]: r["score"] for r in tokens}, 1.0, 1.0, -5.0)
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
