@@ -35,6 +35,19 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of the table has, whichever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        name = f"llm_{name}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def fold(id_col: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo parts; a null id counts as an empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(parts)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from pagecat.llm.common import id_text
+from pagecat.llm.common import fresh, id_text
 
 BUCKETS = 1 << 13
 UNKNOWN = "und"
@@ -141,12 +141,13 @@ def mixture(counts: np.ndarray, model: np.ndarray) -> list[tuple[int, float]]:
 FOUND = "lang_pred string, score double, languages array<string>, proportions array<double>"
 
 
-def annotated(docs: DataFrame, trained: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
-    """All rows and columns, and a column ``llm_language`` with what FOUND names, in one pass and without a join.
+def annotated(docs: DataFrame, trained: tuple[list[str], np.ndarray], text_col: str = "text", column: str | None = None) -> DataFrame:
+    """All rows and columns, and a last one, ``column`` or else a name no other has, with what FOUND names, in one pass and without a join.
 
     A text that is null, empty or without a letter is ``und`` with score 0, as is every text if there was
     nothing to learn from.
     """
+    column = column or fresh(docs, "language")[0]
     shared = docs.sparkSession.sparkContext.broadcast(trained)
     at = docs.columns.index(text_col)
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("languages", pa.list_(pa.string())), ("proportions", pa.list_(pa.float64()))])
@@ -167,9 +168,9 @@ def annotated(docs: DataFrame, trained: tuple[list[str], np.ndarray], text_col:
                         "proportions": [w for _, w in found],
                     }
                 )
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], [*batch.schema.names, "llm_language"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], [*batch.schema.names, column])
 
-    schema = StructType([*docs.schema.fields, StructField("llm_language", StructType.fromDDL(FOUND))])
+    schema = StructType([*docs.schema.fields, StructField(column, StructType.fromDDL(FOUND))])
     return docs.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagecat.llm.common import dropped, id_text, reachable, written
+from pagecat.llm.common import dropped, fresh, id_text, reachable, written
 from pagecat.llm.suffixes import Rolling, anchors, common_prefix, decoded, front_coded, merged
 
 SIZE = 400
@@ -62,10 +62,11 @@ class Repeats:
         self.size, self.gram, self.span = size, gram, min(SPAN, max(2, size // 2))
         self.width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         text = F.coalesce(F.col("text"), F.lit(""))
-        self.keyed = docs.withColumns({"llm_k1": F.xxhash64(text), "llm_k2": F.xxhash64(F.lit("second"), text)})
+        self.keys = fresh(docs, "k1", "k2")
+        self.keyed = docs.withColumns(dict(zip(self.keys, (F.xxhash64(text), F.xxhash64(F.lit("second"), text)))))
         self.tables: list[DataFrame] = []
         self.name = f"llm_texts_{uuid.uuid4().hex}"
-        once = self.keyed.groupBy(F.col("llm_k1").alias("k1"), F.col("llm_k2").alias("k2")).agg(F.count("*").alias("copies"), F.first(text).alias("text"))
+        once = self.keyed.groupBy(F.col(self.keys[0]).alias("k1"), F.col(self.keys[1]).alias("k2")).agg(F.count("*").alias("copies"), F.first(text).alias("text"))
         # The aggregate deals by the same hash into as many parts as there are buckets: no second exchange.
         once.write.bucketBy(self.width, "k1", "k2").saveAsTable(self.name)
 
@@ -437,7 +438,7 @@ def digests(docs: DataFrame, size: int = SIZE, gram: int = GRAM, id_col: str = "
     """
     found = Repeats(id_text(docs, id_col, text_col), size, gram)
     done = found.kept(digest_only=True)
-    rows = found.keyed.select("doc_id", F.col("llm_k1").alias("k1"), F.col("llm_k2").alias("k2"))
+    rows = found.keyed.select("doc_id", F.col(found.keys[0]).alias("k1"), F.col(found.keys[1]).alias("k2"))
     return rows.join(done, ["k1", "k2"]).drop("k1", "k2")
 
 
@@ -449,14 +450,15 @@ def deduplicated(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFra
     """
     found = Repeats(docs, size, gram)
     done = found.kept(digest_only=False)
-    done = done.select(F.col("k1").alias("llm_k1"), F.col("k2").alias("llm_k2"), F.col("kept").alias("llm_kept"))
-    joined = found.keyed.join(done, ["llm_k1", "llm_k2"], "left")
+    kept = fresh(found.keyed, "kept")[0]
+    done = done.select(*(F.col(own).alias(name) for own, name in zip(("k1", "k2"), found.keys)), F.col("kept").alias(kept))
+    joined = found.keyed.join(done, found.keys, "left")
     # A whole character: what is no UTF-8 after the cut is a leading or a trailing part of one.
-    new = F.coalesce(whole_characters("llm_kept"), F.col("text"))
+    new = F.coalesce(whole_characters(kept), F.col("text"))
     out = joined.withColumn("text", new)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("llm_kept").isNotNull(), F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(kept).isNotNull(), F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

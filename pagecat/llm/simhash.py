@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagecat.llm.common import by_bytes, id_text, written
+from pagecat.llm.common import by_bytes, fresh, id_text, written
 
 SEED = 42
 SHINGLE = 4
@@ -218,3 +218,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     classes = written(rooted.join(least, "root").select("fp", "component_id"), "classes")
     return rows.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """All columns of one document of each component of fingerprints at most four bits apart.
+
+    The one with the smallest doc_id stays, rows without a doc_id come last; of several texts under that
+    id the one with the smallest hash, of rows that share both any one. Null, empty and blank texts are
+    linked like any other. An empty table gives an empty one; columns of any name pass through.
+    """
+    key, digest = fresh(docs, "doc", "digest")
+    text = F.col("text").cast("string")
+    keyed = docs.withColumns({key: F.col("doc_id").cast("long"), digest: F.xxhash64(text)})
+    named = keyed.select(F.struct(F.col(key).alias("id"), F.col(digest).alias("hash")).alias("key"), text.alias("text"))
+    rows = written(_fingerprints_by_key(named, shingle, seed), "fingerprints")
+    counted = rows.groupBy("fp", "id", "hash").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash", "n")).alias("row")
+    entries = written(counted.groupBy("fp").agg(first), "distinct")
+    root = components(links(entries.select("fp")), "components")
+    rooted = entries.join(root, entries["fp"] == root["node"], "left").select("row", F.coalesce("root", "fp").alias("root"))
+    kept = written(rooted.groupBy("root").agg(F.min("row").alias("row")).select("row.*"), "kept")
+
+    def of(chosen: DataFrame) -> DataFrame:
+        same = keyed[key].eqNullSafe(chosen["id"]) & (keyed[digest] == chosen["hash"])
+        return keyed.join(chosen, same, "left_semi")
+
+    out = of(kept.where("n = 1"))
+    if not kept.where("n > 1").isEmpty():
+        out = out.unionByName(of(kept.where("n > 1")).dropDuplicates([key, digest]))
+    return out.drop(key, digest)
+
+
+def _fingerprints_by_key(rows: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """id, hash, fp of rows of (key, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def work(keys: list, texts: list) -> pa.RecordBatch:
+            fps = np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64).view(np.int64)
+            columns = [pa.array([k["id"] for k in keys], pa.int64()), pa.array([k["hash"] for k in keys], pa.int64()), pa.array(fps, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["id", "hash", "fp"])
+
+        return by_bytes(batches, work)
+
+    return rows.select("key", "text").mapInArrow(run, "id long, hash long, fp long")
