@@ -9,25 +9,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagecat.llm import bpe, decontaminate, language, minhash, repeats
-from pagecat.llm.common import fold, reachable, table, written
-
-# Words in a shingle of the near-duplicate stage.
-SHINGLE = 5
+from pagecat.llm import bpe, decontaminate, language, repeats, simhash
+from pagecat.llm.common import fold, fresh, reachable, table, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told; those without a letter, or in none (``und``), go."""
     reachable(spark)
     trained = language.train(docs.where(fold(F.col("doc_id"), 4) != 2))
-    found = language.annotated(docs, trained)
-    return found.where(F.col("llm_language.lang_pred") != language.UNKNOWN).drop("llm_language")
+    column = fresh(docs, "language")[0]
+    found = language.annotated(docs, trained, column=column)
+    return found.where(F.col(column)["lang_pred"] != language.UNKNOWN).drop(column)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles at a similarity of 0.8 or more."""
+    """One document of each group of near duplicates: SimHash of four-word shingles, four differing bits at most."""
     reachable(spark)
-    return minhash.one_of_each(docs, shingle=SHINGLE)
+    return simhash.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for the table of documents."""
+    """The last stage's rows for the table of documents.
+
+    Null, empty and letterless texts go in the first stage; rows without doc_id and repeated rows are
+    documents like any other; very long texts stay whole; an empty table gives an empty one; extra columns
+    of any name pass up to the last stage.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
