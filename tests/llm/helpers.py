@@ -3,7 +3,7 @@ extra columns whose names clash with an operator's own."""
 
 import random
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, k1 string, fp string, kept string, words string, n long, slot long, label int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, k1 string, fp string, kept string, words string, n long, slot long, label int, llm_kept string, llm_language string, llm_k1 long, llm_digest long, found_id long, id long, hash long, root long"
 
 SYLLABLES = {"aa": "the an in er on ti re at th".split(), "bb": "der die sch ein ung ge be lich".split()}
 
@@ -29,7 +29,7 @@ def texts(seed=1, n=60):
 
 def table(spark, rows=None):
     rows = texts() if rows is None else rows
-    data = [(i, t, lang, f"s{i % 3}" if i % 7 else None, len(t or ""), 0.5, "k", "f", "x", "w", 1, 2, 3) for i, (t, lang) in enumerate(rows)]
+    data = [(i, t, lang, f"s{i % 3}" if i % 7 else None, len(t or ""), 0.5, "k", "f", "x", "w", 1, 2, 3, "x", "y", 4, 5, 6, 7, 8, 9) for i, (t, lang) in enumerate(rows)]
     if data:
         data += [data[4], data[4], (None, *data[6][1:]), (None, *data[6][1:])]  # repeated rows, no id
     return spark.createDataFrame(data, SCHEMA).repartition(3)

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from pagecat.llm import decontaminate, minhash, repeats, simhash, suffixes
+from pagecat.llm import decontaminate, repeats, simhash, suffixes
 from tests.llm import helpers
 
 
@@ -152,35 +152,38 @@ def test_links_connect_dense_groups(spark, monkeypatch, block):
     assert edges.count() < 70 * len(signed)
 
 
-def plain_shingles(text):
-    words = (text or "").encode().lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+def signed_hash(text):
+    h = xxhash.xxh64_intdigest(text, 42)
+    return h - (1 << 64) if h >> 63 else h
 
 
-def plain_similarity(a, b):
-    return len(a & b) / len(a | b)
+def plain_one_of_each(rows):
+    """Of each component of rows (doc_id, text) the one with the smallest id, then the smallest hash; no id comes last."""
+    fp = {t: plain_fingerprint(t, 4) for _, t in rows}
+    root = reachable(sorted(set(fp.values())), lambda a, b: bin(a ^ b).count("1") <= simhash.BITS)
+    best = {}
+    for i, t in rows:
+        rank = (i is None, i or 0, signed_hash(t) if t is not None else 42)
+        best[root[fp[t]]] = min(best.get(root[fp[t]], (rank, i, t)), (rank, i, t), key=lambda x: x[0])
+    return [(i, t) for _, i, t in best.values()]
 
 
-@pytest.mark.parametrize("block", [2048, 7])
-def test_near_duplicates_like_brute_force_jaccard(spark, monkeypatch, block):
-    monkeypatch.setattr(minhash, "BLOCK", block)
+def test_one_of_each_like_brute_force(spark):
     rnd = random.Random(7)
-    texts = [helpers.prose(rnd, n) for n in (1, 4, 5, 6, 60, 150, 400)]
-    for length, copies in ((80, 40), (300, 25), (1500, 8)):
-        base = helpers.prose(rnd, length).split()
-        for _ in range(copies):
-            words = list(base)
-            for _ in range(rnd.randint(0, length // 30)):
-                words[rnd.randrange(length)] = helpers.prose(rnd, 3)
-            texts.append(" ".join(words))
-    docs = helpers.table(spark, helpers.texts() + [(t, "aa") for t in texts])
-    named = {r.doc_id: r.text for r in docs.collect() if r.doc_id is not None}
-    sets = {i: plain_shingles(t) for i, t in named.items()}
-    root = reachable(sorted(named), lambda a, b: plain_similarity(sets[a], sets[b]) >= 0.8)
-    kept = [r.doc_id for r in minhash.one_of_each(docs, 5).collect() if r.doc_id is not None]
-    assert sorted(kept) == sorted({min(i for i in root if root[i] == k) for k in root.values()})
-    far = [(a, b) for a in named for b in named if a < b and plain_similarity(sets[a], sets[b]) >= 0.8 and bin(plain_fingerprint(named[a], 5) ^ plain_fingerprint(named[b], 5)).count("1") > simhash.BITS]
-    assert far and minhash.one_of_each(docs.where("doc_id < 0"), 5).count() == 0
+    base = helpers.prose(rnd, 400).split()
+    copies = []
+    for _ in range(30):
+        words = list(base)
+        words[rnd.randrange(400)] = "other"
+        copies.append((" ".join(words), "aa"))
+    docs = helpers.table(spark, helpers.texts() + copies)
+    same_id = docs.where("doc_id = 3").limit(1)
+    docs = docs.unionByName(same_id.withColumn("text", F.lit("another text under the id of one that is kept")))
+    out = simhash.one_of_each(docs)
+    assert out.columns == docs.columns
+    mine = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert mine == sorted(plain_one_of_each([(r.doc_id, r.text) for r in docs.collect()]), key=str)
+    assert simhash.one_of_each(docs.where("doc_id < 0")).count() == 0
 
 
 def plain_words(text):
@@ -264,3 +267,25 @@ def test_block_index_finds_all_within_the_radius(spark):
     left = df.select("k", F.inline(decontaminate.block_keys(F.col("a"), 0)))
     right = df.select("k", F.inline(decontaminate.block_keys(F.col("b"), decontaminate.NEAR)))
     assert left.join(right, ["k", "block", "value"]).select("k").distinct().count() == 300
+
+
+def test_no_join_with_the_index_is_a_broadcast(spark, monkeypatch):
+    plans = []
+    plain = decontaminate.written
+    monkeypatch.setattr(decontaminate, "written", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or plain(df, name))
+    items = spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "zero one two three four five six seven eight")], "doc_id long, text string")
+    assert decontaminate.contaminated(docs, items).first().contaminated
+    verified = dict(plans)["verified"]
+    near = [line for line in verified.splitlines() if "block#" in line and "Join" in line]
+    assert near and all("SortMergeJoin" in line for line in near)
+
+
+def test_similarity_with_and_without_repeats(spark):
+    rnd = random.Random(5)
+    rows = [([rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 8))], rnd.sample("abcdefgh", rnd.randint(1, 8))) for _ in range(200)]
+    rows += [(a, [rnd.choice("abcd") for _ in range(6)]) for a, _ in rows[:100]]
+    found = spark.createDataFrame(rows, "a array<string>, b array<string>").select("a", "b", decontaminate.similarity("a", "b").alias("s")).collect()
+    for r in found:
+        both = sum((collections.Counter(r.a) & collections.Counter(r.b)).values())
+        assert r.s == both / (len(r.a) + len(r.b) - both)

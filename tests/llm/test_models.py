@@ -36,7 +36,7 @@ def test_language_of_the_usual_cases(spark):
     assert {r.lang_pred for r in language.detect(docs, F.lit(False)).collect()} == {"und"}
     assert language.detect(helpers.table(spark, []), F.lit(True)).count() == 0
     kept = language.annotated(docs, language.train(docs))
-    assert kept.columns == [*docs.columns, "llm_language"] and kept.count() == docs.count()
+    assert kept.columns[:-1] == docs.columns and kept.columns[-1] not in docs.columns and kept.count() == docs.count()
 
 
 def test_mixture_has_both_languages():
@@ -217,3 +217,21 @@ def test_chain_probabilities_are_exact():
         return total
 
     assert loss(w, t) < 0.2 * loss(np.zeros_like(w), np.zeros_like(t))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<head><meta charset=x><h1>One</h1><p>Two long words.</p>", ["One", "Two long words."]),
+        ("<head><title>t</title></head><body><p>a</p></body>", ["a"]),
+        ("<p>One <svg><text>x</text></svg> two</p>", ["One two"]),
+        ("<p>One</p><svg class=i /><p>two</p><svg/><p>three</p>", ["One", "two", "three"]),
+        ("<p>One <svg class=i> two</p>", ["One two"]),
+        ("<object data=x /><p>One</p>", ["One"]),
+        ("<p>The value <math><mi>x</mi></math> is larger</p>", ["The value x is larger"]),
+        ("<p>One <script>var a = '<p>';</script>two<style>p{}</style></p>", ["One two"]),
+        ("<p>One</p><textarea>two</textarea>", ["One", "two"]),
+    ],
+)
+def test_blocks_of_odd_markup(page, text):
+    assert [b.text for b in html.blocks(page)] == text

@@ -6,9 +6,8 @@ from types import SimpleNamespace
 import public_tokenizers
 
 import corpus_pipeline
-from pagecat.llm import simhash
 from tests.llm import helpers
-from tests.llm.test_duplicates import plain_fingerprint, plain_leaks, reachable, removed_by_brute_force
+from tests.llm.test_duplicates import plain_leaks, plain_one_of_each, removed_by_brute_force
 
 
 def written_tables(spark, folder):
@@ -28,17 +27,9 @@ def test_run_like_brute_force(spark, tmp_path):
     docs, items = written_tables(spark, str(tmp_path))
     rows = [SimpleNamespace(**r.asDict()) for r in docs.collect()]
     rows = [r for r in rows if any(c.isalpha() for c in r.text or "")]
-    named = [r for r in rows if r.doc_id is not None]
-    nameless = list({r.text: r for r in rows if r.doc_id is None}.values())
-    fp = {r.text: plain_fingerprint(r.text, 5) for r in named}
-    root = reachable(sorted(set(fp.values())), lambda a, b: bin(a ^ b).count("1") <= simhash.BITS)
-    best = {}
-    for r in named:
-        k = root[fp[r.text]]
-        best[k] = r if k not in best or r.doc_id < best[k].doc_id else best[k]
-    rows = [*best.values(), *nameless]
-    cut = [w[4].decode("utf-8", "ignore") for w in removed_by_brute_force([r.text for r in rows], 400)]
-    kept = [(r.doc_id, t) for r, t in zip(rows, cut) if not plain_leaks(t, items)[0]]
+    rows = plain_one_of_each([(r.doc_id, r.text) for r in rows])
+    cut = [w[4].decode("utf-8", "ignore") for w in removed_by_brute_force([t for _, t in rows], 400)]
+    kept = [(i, t) for (i, _), t in zip(rows, cut) if not plain_leaks(t, items)[0]]
     assert len(kept) < len(rows)
 
     from tokenizers import Tokenizer
