@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -101,23 +102,64 @@ def _probe(seen_pages: DataFrame, include: str) -> DataFrame:
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, also where ``body`` reads it for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _depths(steps: Column) -> Column:
+    """Running sums of steps (1, -1 or 0) that never fall below 0.
+
+    By blocks of about the square root of their number: a block turns the depth d before it into
+    max(d + total, floor). So no array grows beyond a block, and the work grows with n times its root.
+    """
+
+    def blocks(all_steps: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(all_steps))), F.lit(1)).cast("int")
+        last = F.floor((F.size(all_steps) - 1) / width).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(all_steps, k * width + 1, width))
+
+    def effect(block: Column) -> Column:
+        return F.aggregate(
+            block,
+            F.struct(F.lit(0).alias("total"), F.lit(-(1 << 30)).alias("floor")),
+            lambda e, x: F.struct((e["total"] + x).alias("total"), F.greatest(e["floor"] + x, F.lit(0)).alias("floor")),
+        )
+
+    def walk(start: Column, moves: Column, move: Callable[[Column, Column], Column], after: bool) -> Column:
+        """Depths before, or after, each move."""
+        none = F.array().cast("array<int>")
+
+        def step(state: Column, x: Column) -> Column:
+            now = move(state["depth"], x)
+            told = now if after else state["depth"]
+            return F.struct(now.alias("depth"), F.concat(state["told"], F.array(told)).alias("told"))
+
+        return F.aggregate(moves, F.struct(start.alias("depth"), none.alias("told")), step, lambda state: state["told"])
+
+    def joined(parts: Column) -> Column:
+        starts = walk(F.lit(0), F.transform(parts, effect), lambda d, e: F.greatest(d + e["total"], e["floor"]), after=False)
+        within = F.zip_with(parts, starts, lambda p, d: walk(d, p, lambda e, x: F.greatest(e + x, F.lit(0)), after=True))
+        return F.flatten(within)
+
+    return _let(_let(steps, blocks), joined)
+
+
 def _outer_tables(seen: Column) -> Column:
     """The page without tables inside tables: their cells are no cells of the listing."""
-    empty = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kept"))
 
-    def step(state: Column, piece: Column) -> Column:
-        opens, closes = piece.rlike("(?i)^<table\\b"), piece.rlike("(?i)^</table\\b")
-        depth = F.greatest(
-            F.lit(0), state["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
-        )
-        inner_end = closes & (depth == 1)
-        after = F.regexp_replace(piece, "^[^>]*>?", "")
-        text = F.when(inner_end, after).when(depth <= 1, piece).otherwise("")
-        return F.struct(depth.alias("depth"), F.concat(state["kept"], text).alias("kept"))
+    def step(piece: Column) -> Column:
+        return F.when(piece.rlike("(?i)^<table\\b"), 1).when(piece.rlike("(?i)^</table\\b"), -1).otherwise(0)
+
+    def kept(piece: Column, depth: Column) -> Column:
+        inner_end = (depth == 1) & piece.rlike("(?i)^</table\\b")
+        return F.when(inner_end, F.regexp_replace(piece, "^[^>]*>?", "")).when(depth <= 1, piece).otherwise("")
+
+    def flat(pieces: Column) -> Column:
+        return F.array_join(F.zip_with(pieces, _depths(F.transform(pieces, step)), kept), "")
 
     pieces = F.split(seen, r"(?i)(?=</?table\b)")
-    flat = F.aggregate(pieces, empty, step, lambda state: state["kept"])
-    return F.when(F.regexp_count(seen, F.lit(r"(?i)<table\b")) > 1, flat).otherwise(seen)
+    return F.when(F.regexp_count(seen, F.lit(r"(?i)<table\b")) > 1, _let(pieces, flat)).otherwise(seen)
 
 
 def _row_cells(seen: Column) -> Column:

@@ -1,5 +1,7 @@
 """Listing pages: layouts, rows, cells, dedup, stop rule."""
 
+import random
+import time
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,3 +162,27 @@ def test_page_stats_across_blocks(spark):
 def test_column_widths(spark):
     df = spark.createDataFrame([("x" * 200, 5, None), ("y", 123456789, None)], "long_text string, n bigint, empty string")
     assert {r[0]: r[1] for r in listing.column_width_profile(df).collect()} == {"long_text": 100, "n": 11, "empty": 7}
+
+
+def test_depths_like_a_plain_walk(spark):
+    rnd = random.Random(1)
+    rows = [([rnd.choice([1, -1, 0]) for _ in range(n)],) for n in (1, 2, 3, 4, 5, 9, 10, 50, 200) for _ in range(8)]
+    found = spark.createDataFrame(rows, "steps array<int>").select("steps", listing._depths(F.col("steps")).alias("d")).collect()
+    for r in found:
+        depth, true = 0, []
+        for x in r.steps:
+            depth = max(0, depth + x)
+            true.append(depth)
+        assert r.d == true
+
+
+def test_a_page_of_twenty_thousand_tables(spark):
+    inner = "<table><tr><td>no<td>no</table>"
+    rows = "".join(f'<tr><td><a href="/datasets/{i}">n{i}</a>{inner}</td><td>x</td></tr>' for i in range(10_000))
+    page = f"<table><tbody>{rows}</tbody></table>" + "<table><tr><td>later</td><td>later</td></tr></table>" * 10_000
+    pages = spark.createDataFrame([("r", 0, "https://x.example/datasets", page)], "run string, page_num int, url string, html string").cache()
+    pages.count()
+    start = time.perf_counter()
+    found = listing.listing_entries(pages).select(F.size("entries").alias("n"), F.col("entries")[9_999]["cells"].alias("cells")).first()
+    assert found.n == 10_000 and len(found.cells) == 2 and "no" not in found.cells[0].replace("n9999", "")
+    assert time.perf_counter() - start < 10  # a string grown table by table takes minutes
