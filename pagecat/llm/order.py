@@ -209,8 +209,8 @@ def materialised(
     placed = rows.mapInArrow(place, "slot long, shard long, number long, doc_ids array<long>, n_tokens int, ids binary")
     shards = max(1, -(-total // per_shard))
     ranges = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1))
-    # Slots are dense, so equal ranges of shards are equal amounts of data.
-    dealt = placed.repartitionByRange(ranges, "shard").sortWithinPartitions("slot")
+    # Slots are dense, so equal ranges of shards are equal amounts of data; a shard tells its range, no sample is drawn.
+    dealt = placed.repartitionById(ranges, F.expr(f"cast(shard * {ranges} div {shards} as int)")).sortWithinPartitions("slot")
     done = dealt.mapInArrow(
         write, "slot long, shard long, offset long, number long, doc_ids array<long>, n_tokens int, ids_sha256 string, path string"
     )
