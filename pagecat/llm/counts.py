@@ -51,12 +51,12 @@ def safe_parts(text: str) -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def _ids(path: str) -> tuple[dict[str, array], list[str]]:
+def _ids(path: str) -> tuple[dict[str, bytes], list[str]]:
     return {}, []
 
 
-def part_ids(path: str, texts: list[list[str]]) -> dict[str, array]:
-    """Token ids (16 bits) of at least every part of some texts; parts not yet known are one batch."""
+def part_ids(path: str, texts: list[list[str]]) -> dict[str, bytes]:
+    """Token ids (as bytes, 16 bits each) of at least every part of some texts; parts not yet known are one batch."""
     model, (known, long) = piece_encoder(path), _ids(path)
     for p in long:
         known.pop(p, None)
@@ -64,7 +64,7 @@ def part_ids(path: str, texts: list[list[str]]) -> dict[str, array]:
     if len(known) > REMEMBERED:
         known.clear()
     fresh = list(set(chain.from_iterable(texts)).difference(known))
-    known.update(zip(fresh, (array("H", i) for i in model.encode(fresh, num_threads=1))))
+    known.update(zip(fresh, (array("H", i).tobytes() for i in model.encode(fresh, num_threads=1))))
     long += [p for p in fresh if len(p) > LONG_PART]
     return known
 

@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import sys
 import uuid
-from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,54 +85,54 @@ def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        ids = array("H")
-        owners: list[tuple[int, int | None]] = []  # place in ids where a text begins, its doc_id
+        ids = bytearray()  # 16 bits each
+        names: list[int | None] = []  # doc_ids of the texts in ids, and where each begins
+        starts: list[int] = []
         at = 0
+        end_id = END.to_bytes(2, sys.byteorder)
 
         def cut(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal ids, owners, at
-            rows: list[tuple] = []
-            begin = 0
-            while len(ids) - begin >= length or (last and begin < len(ids)):
-                end = min(begin + length, len(ids))
-                inside = [d for k, (p, d) in enumerate(owners) if p < end and (k + 1 == len(owners) or owners[k + 1][0] > begin)]
-                values = np.full(length, PADDING, np.uint16)
-                values[: end - begin] = ids[begin:end]
-                rows.append((inside, end - begin, values))
-                begin = end
-                owners = [(p, d) for k, (p, d) in enumerate(owners) if k + 1 == len(owners) or owners[k + 1][0] > begin]
-            ids = ids[begin:]
-            owners = [(max(0, p - begin), d) for p, d in owners] if ids else []
-            for k in range(0, len(rows), TOGETHER):
-                inside, sizes, values = zip(*rows[k : k + TOGETHER])
+            nonlocal ids, names, starts, at
+            values = np.frombuffer(bytes(ids), np.uint16)
+            count = -(-len(values) // length) if last else len(values) // length
+            for first in range(0, count, TOGETHER):
+                begins = range(first * length, min(first + TOGETHER, count) * length, length)
+                ends = [min(b + length, len(values)) for b in begins]
+                # Every text has an id, so a text begins at each start and no two at one.
+                inside = [names[bisect_right(starts, b) - 1 : bisect_left(starts, e)] for b, e in zip(begins, ends)]
+                block = np.full(len(begins) * length, PADDING, np.uint16)
+                block[: ends[-1] - begins[0]] = values[begins[0] : ends[-1]]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([part], pa.int32()),
                         pa.array([at], pa.int64()),
-                        pa.array([list(inside)], pa.list_(pa.list_(pa.int64()))),
-                        pa.array([list(sizes)], pa.list_(pa.int32())),
-                        pa.array([_squeezed(np.concatenate(values))], pa.binary()),
+                        pa.array([inside], pa.list_(pa.list_(pa.int64()))),
+                        pa.array([[e - b for b, e in zip(begins, ends)]], pa.list_(pa.int32())),
+                        pa.array([_squeezed(block)], pa.binary()),
                     ],
                     ["part", "at", "doc_ids", "n_tokens", "ids"],
                 )
-                at += len(sizes)
+                at += len(begins)
+            begin = min(count * length, len(values))
+            ids = ids[2 * begin :]
+            kept = bisect_right(starts, begin) - 1 if ids else len(starts)
+            names, starts = names[kept:], [max(0, p - begin) for p in starts[kept:]]
 
         for batch in batches:
+            owners, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             held, first = 0, 0
-            names = batch.column(0).to_pylist()
-            texts = batch.column(1)
-            for i in range(batch.num_rows):
-                held += len(texts[i].as_py() or "")
-                if held < BATCH_BYTES // 4 and i + 1 < batch.num_rows:
+            for i, text in enumerate(texts):
+                held += len(text or "")
+                if held < BATCH_BYTES // 4 and i + 1 < len(texts):
                     continue
-                some = [safe_parts(t) if t else [] for t in texts.slice(first, i + 1 - first).to_pylist()]
-                known = part_ids(tokenizer, some)
-                for name, parts in zip(names[first : i + 1], some):
-                    owners.append((len(ids), name))
-                    for p in parts:
-                        ids += known[p]
-                    ids.append(END)
-                    if len(ids) >= 64 * length:
+                some = [safe_parts(t) if t else [] for t in texts[first : i + 1]]
+                known = part_ids(tokenizer, some).__getitem__
+                for name, parts in zip(owners[first : i + 1], some):
+                    names.append(name)
+                    starts.append(len(ids) // 2)
+                    ids += b"".join(map(known, parts))
+                    ids += end_id
+                    if len(ids) >= 128 * length:
                         yield from cut(False)
                 held, first = 0, i + 1
         yield from cut(True)
