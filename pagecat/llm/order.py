@@ -16,6 +16,7 @@ import sys
 import uuid
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -67,17 +68,21 @@ def slots(numbers: np.ndarray, total: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def _squeezed(ids: np.ndarray) -> bytes:
-    """Ids of 16 bits, compressed for what is moved and stored in between."""
+@lru_cache(maxsize=1)
+def _codec():
+    """Compressor and decompressor, once per Python worker."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(ids.astype("<u2").tobytes())
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
 
 
-def _expanded(data: bytes) -> bytes:
-    import zstandard
+def _squeezed(ids: np.ndarray) -> bytes:
+    """Ids of 16 bits, compressed for what is moved and stored in between."""
+    return _codec()[0].compress(ids.astype("<u2").tobytes())
 
-    return zstandard.ZstdDecompressor().decompress(data)
+
+def _expanded(data: bytes) -> bytes:
+    return _codec()[1].decompress(data)
 
 
 def sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
