@@ -378,3 +378,44 @@ def record_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             "</ul></body></html>",
         ).alias("html"),
     )
+
+
+# ---- FX6: the pages behind the listing -------------------------------------------------------
+
+
+def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail page of every part of the listing, some missing, some telling something else.
+
+    Some have an older copy beside them, without a document and under another heading.
+    """
+    k = F.col("p_partkey")
+    parts = table(spark, sf_dir, "part").where("p_partkey % 37 <> 0")
+    name = _concat(F.col("p_name"), " ", k)
+    heading = F.when(k % 71 == 0, "Other").when(k % 43 == 0, F.upper(name)).otherwise(name)
+    species = F.when(k % 41 == 0, _pick(k % 3, ["Mouse", "Human", "Human"])).otherwise(
+        _pick(k % 3, ["Human", "Mouse", "Rat"])
+    )
+    species_line = F.when(k % 59 == 0, "").otherwise(_concat("<p>Species: ", species, "</p>"))
+    tissue_line = F.when(k % 13 == 0, _concat("<p>Tissue: ", _pick(k % 10, rules.TISSUES), "</p>")).otherwise("")
+
+    def file(i: Column) -> Column:
+        name = _concat("f_", i, ".csv")
+        url = _concat("https://files.example.com/", k, "/", name)
+        return F.struct(
+            F.lit("Table").alias("title"), url.alias("url"), (k * 1000 + i).alias("bytes"), F.md5(_text(k)).alias("md5sum")
+        )
+
+    listed = F.filter(F.array(F.lit(1), F.lit(2)), lambda i: i <= k % 3)
+    filed = F.struct(F.transform(listed, file).alias("outputs"))
+    dataset = F.struct(
+        _concat("**Imaging**\n- Microscope: M", k % 9).alias("body"),
+        _concat("2024-01-", F.lpad(_text(k % 28 + 1), 2, "0"), "T10:00:00-05:00").alias("publishedAt"),
+    )
+    content = F.struct(dataset.alias("dataset"), F.create_map(F.lit("Files"), filed).alias("filesetMap"))
+    document = F.to_json(F.struct(F.struct(content.alias("pageProps")).alias("props")))
+    script = F.when(k % 29 == 0, "").otherwise(_concat(rules.DOCUMENT_OPEN, document, rules.DOCUMENT_CLOSE))
+    url = _concat(f"{SITE}/datasets/part-", k).alias("url")
+    kept = _pick(k % 2, ["FFPE", "Fresh&nbsp;Frozen"])
+    told = _concat("</h1>", species_line, "<p>Preservation: ", kept, "</p>", tissue_line, script, "</body></html>")
+    older = parts.where("p_partkey % 17 = 0").select(url, F.lit("<html><body><h1>Not ready</h1></body></html>").alias("html"))
+    return parts.select(url, _concat("<html><body><h1>", heading, told).alias("html")).unionByName(older)

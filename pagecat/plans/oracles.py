@@ -317,6 +317,32 @@ _EXIT = (
     "count(*) FILTER (status IN ('mismatched', 'failed')) > 0 THEN 1 ELSE 0 END AS INTEGER) AS exit_code"
 )
 
+# ---- FX6: listing records beside what their pages tell ------------------------------------------
+
+CRAWLED = f"""kept AS (
+  SELECT recs.*, CAST(regexp_extract(dataset_url, '[0-9]+$') AS BIGINT) AS p
+  FROM recs LEFT JOIN stops USING (run) WHERE stop IS NULL OR page_num < stop),
+told AS (
+  SELECT p_partkey AS p, p_partkey % 29 <> 0 AS has_doc,
+    CASE WHEN p_partkey % 71 = 0 THEN 'Other' ELSE p_name || ' ' || p_partkey END AS t_name,
+    -- no rule knows rats, so a page that names one tells no species
+    CASE WHEN p_partkey % 59 = 0 THEN '' WHEN p_partkey % 41 <> 0 THEN replace({_species('p_partkey')}, 'Rat', '')
+      WHEN p_partkey % 3 = 0 THEN 'Mouse' ELSE 'Human' END AS t_species,
+    {_ffpe('p_partkey')} AS t_preservation,
+    CASE WHEN p_partkey % 13 = 0 THEN {_tissue('p_partkey')} ELSE '' END AS t_tissue
+  FROM part WHERE p_partkey % 37 <> 0),
+results AS (
+  SELECT k.*, t.p IS NOT NULL AS has_page, coalesce(t.has_doc, false) AS has_doc,
+    coalesce(CAST(t_species <> '' AND species <> t_species AS INTEGER), 0) AS errors,
+    coalesce(CAST(lower(preservation) <> lower(t_preservation) AS INTEGER)
+      + CAST(lower(dataset_name) <> lower(t_name) AS INTEGER)
+      + CAST(t_tissue <> '' AND NOT contains(lower(t_tissue), lower(sample_type))
+          AND NOT contains(lower(sample_type), lower(t_tissue)) AS INTEGER), 0) AS others
+  FROM kept k LEFT JOIN told t USING (p)),
+statuses AS (
+  SELECT *, CASE WHEN NOT has_page THEN 'failed' WHEN errors > 0 THEN 'mismatched'
+    WHEN others > 0 THEN 'warning' ELSE 'verified' END AS status FROM results)"""
+
 # ---- URLs ------------------------------------------------------------------------------------
 
 URLS = """u AS (
@@ -867,4 +893,32 @@ def all_oracles() -> dict[str, str]:
                 CASE WHEN NOT o.has_page THEN 'failed' ELSE 'verified' END AS status
               FROM catalogue c JOIN ord o USING (dataset_url)""",
         ),
+        "crawl_to_status": _with(
+            FX1,
+            FX1_FIRST,
+            FX1_COUNTS,
+            stop,
+            CRAWLED,
+            query="""SELECT run, dataset_url, dataset_name,
+                CASE WHEN has_doc THEN 'M' || p % 9 ELSE '' END AS microscope,
+                CASE WHEN has_doc THEN printf('2024-01-%02d', p % 28 + 1) ELSE '' END AS date_published,
+                CAST(CASE WHEN has_doc THEN p % 3 ELSE 0 END AS INTEGER) AS files_found_count,
+                CASE WHEN NOT has_doc OR p % 3 = 0 THEN 'failed' WHEN p % 3 = 1 THEN 'partial' ELSE 'success' END
+                  AS file_extraction_status,
+                CASE WHEN has_page THEN 'ok' ELSE 'failed' END AS outcome,
+                CAST(CASE WHEN has_page THEN errors + others ELSE 1 END AS INTEGER) AS n_differences, status
+              FROM statuses""",
+        ),
+        "crawl_report": _with(
+            FX1,
+            FX1_FIRST,
+            FX1_COUNTS,
+            stop,
+            CRAWLED,
+            query=f"""SELECT run, count(*) AS total_datasets, true AS passed, count(*) AS json_count, count(*) AS excel_count,
+                CAST(0 AS BIGINT) AS mismatch_count, {_STATUS_COUNTS},
+                CAST(CASE WHEN count(*) FILTER (status IN ('mismatched', 'failed')) > 0 THEN 1 ELSE 0 END AS INTEGER)
+                  AS exit_code
+              FROM statuses GROUP BY run""",
+        ),
     }

@@ -759,6 +759,48 @@ def catalogue_flow(spark, d):
     )
 
 
+def _crawled(spark, d) -> DataFrame:
+    """Listing pages to records stored per run, and these to records checked against their pages."""
+    path = scratch_path(spark, "records")
+    io.replace_stage(flow.crawl_records(_stored_entries(spark, d)), path)
+    stored = spark.read.schema(schemas.CRAWLED).parquet(path)
+    return flow.catalogue(stored, fixtures.part_pages(spark, d))
+
+
+def crawl_to_status(spark, d):
+    """From listing pages to the status of every record; of some pages there are older copies."""
+    return _crawled(spark, d).select(
+        "run",
+        "dataset_url",
+        "dataset_name",
+        "microscope",
+        "date_published",
+        "files_found_count",
+        "file_extraction_status",
+        "outcome",
+        F.size("differences").alias("n_differences"),
+        "status",
+    )
+
+
+def crawl_report(spark, d):
+    """The same path to its end: both written copies compared by place per run, and the report of every run."""
+    base = scratch_path(spark, "crawl")
+    checked = stage(_crawled(spark, d), "checked")
+    flat = ["run", *schemas.BASE_FIELDS]
+    rows = checked.orderBy(*listing.ORDER).select(*flat)
+    io.write_records(rows, f"{base}/records")
+    io.write_tabular(rows, f"{base}/sheet", flat)
+    schema = T.StructType(schemas.strings(*flat))
+    a = io.read_records(spark, f"{base}/records", schema, lines=True, index="row_idx")
+    b = io.read_tabular(spark, f"{base}/sheet", schema, index="row_idx")
+    checks = stage(validate.consistency_summary(a, b, by=("run",)), "consistency")
+    counts = validate.status_counts(checked, ["run"])
+    coded = validate.exit_code(counts, checks, checked, by=("run",))
+    report = validate.validation_report(coded, checks, F.lit(REPORT_TIME), by=("run",))
+    return report.select("run", "total_datasets", "file_consistency.*", "url_validation.*", "exit_code")
+
+
 _NAMED_OTHERWISE = {"enrich": enrich_records}
 _PLAIN = [
     read_pages,
@@ -845,6 +887,8 @@ _PLAIN = [
     stream_ingest,
     stream_stop_rule,
     catalogue_flow,
+    crawl_to_status,
+    crawl_report,
 ]
 
 

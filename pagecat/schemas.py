@@ -52,6 +52,15 @@ PAGES = T.StructType(
 
 BASE_RECORD = T.StructType(strings(*BASE_FIELDS))
 ENRICHED_RECORD = T.StructType(strings(*ENRICHED_FIELDS))
+# Records of a crawl, stored per run, with their place in the listing.
+CRAWLED = T.StructType(
+    [
+        *strings("run"),
+        T.StructField("page_num", T.IntegerType()),
+        T.StructField("pos", T.IntegerType()),
+        *strings(*BASE_FIELDS),
+    ]
+)
 
 FILE = T.StructType(
     [
