@@ -79,7 +79,6 @@ def layout_probe(pages: DataFrame, include: str = rules.DATASET_LINK) -> DataFra
 
 def _probe(seen_pages: DataFrame, include: str) -> DataFrame:
     html = F.col("seen")
-    link = rf"""(?i:<a)\b[^>]*?\s(?i:href)\s*=\s*["']?[^"'\s>]*\Q{include}\E"""
     rows = F.when(html.rlike(r"(?i)<table\b"), F.regexp_count(html, F.lit(r"(?i)<tr\b"))).otherwise(0)
     probes = [
         ("dataset", F.regexp_count(html, F.lit(_div_class("dataset")))),
@@ -87,7 +86,7 @@ def _probe(seen_pages: DataFrame, include: str) -> DataFrame:
         ("hit", F.regexp_count(html, F.lit(_div_class("hit")))),
         ("result", F.regexp_count(html, F.lit(_div_class("result")))),
         ("article", F.regexp_count(html, F.lit(r"(?i)<article\b"))),
-        ("link", F.regexp_count(html, F.lit(link))),
+        ("link", F.size(F.filter(links_expr(html), lambda link: link["href"].contains(include)))),
     ]
     # Lazy: a later probe is only counted where every earlier one found nothing.
     found = F.coalesce(

@@ -42,7 +42,13 @@ def _listing_rows(part: DataFrame) -> DataFrame:
     shifted = F.when(page.between(20, 22), k - 50 * (page - 19)).otherwise(k)
     item = F.when(shifted % 4 == 3, shifted - 1).otherwise(shifted)
     name = F.when(k % 97 == 0, "").otherwise(_concat(F.col("p_name"), "  \n ", k))
-    link = _concat('<a href="/datasets/part-', item, '">', name, "</a>")
+    # Links as pages write them: padded, with a character reference, or plain.
+    href = (
+        F.when(k % 8 == 1, _concat(" /datasets/part-", item, "\n"))
+        .when(k % 8 == 2, _concat("&#47;datasets&#x2F;part-", item))
+        .otherwise(_concat("/datasets/part-", item))
+    )
+    link = _concat('<a href="', href, '">', name, "</a>")
     decoy = F.when(k % 6 == 0, '<a href="/datasets?q=all">all</a> ').otherwise("")
     brand, species = F.col("p_brand"), _pick(k % 3, ["Human", "Mouse", "Rat"])
     spatial = _concat("Spatial ", F.col("p_type"))
@@ -82,8 +88,17 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("page_num") == 5,
         '<tbody><tr><td><a href="/datasets/decoy">decoy</a></td><td>x</td></tr></tbody>',
     ).otherwise("")
-    body = F.when(F.col("page_num") == 13, _concat("<p>", links, "</p>")).otherwise(
-        _concat("<table><thead><tr><th>Name</th></tr></thead><tbody>", rows, "</tbody>", decoy, "</table>")
+    # Page 7 has tables inside its table, one of them with a dataset link; page 9 a table without a body tag.
+    inner = F.when(
+        F.col("page_num") == 7,
+        '<tr><td><table><tbody><tr><td><a href="/datasets/inner">inner</a></td><td>x</td></tr></tbody></table></td></tr>',
+    ).otherwise("")
+    body = (
+        F.when(F.col("page_num") == 13, _concat("<p>", links, "</p>"))
+        .when(F.col("page_num") == 9, _concat("<table>", rows, "</table>"))
+        .otherwise(
+            _concat("<table><thead><tr><th>Name</th></tr></thead><tbody>", rows, inner, "</tbody>", decoy, "</table>")
+        )
     )
     return page.select(
         "run",

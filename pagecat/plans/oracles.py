@@ -573,7 +573,7 @@ def all_oracles() -> dict[str, str]:
         "layout_probe_listing": _with(
             FX1,
             query="SELECT run, page_num, CASE WHEN page_num = 13 THEN 'link' ELSE 'table_row' END AS layout, "
-            "CAST(CASE WHEN page_num = 13 THEN count(*) WHEN page_num = 5 THEN count(*) + 2 ELSE count(*) + 1 END "
+            "CAST(count(*) + CASE page_num WHEN 13 THEN 0 WHEN 9 THEN 0 WHEN 7 THEN 3 WHEN 5 THEN 2 ELSE 1 END "
             "AS INTEGER) AS elements FROM rows GROUP BY run, page_num",
         ),
         "table_rows": _with(

@@ -38,6 +38,7 @@ def table(*rows):
         ("<div class='result'></div><article>", ("result", 1)),
         ("<article><article>", ("article", 2)),
         ('<a class=b href="/datasets/x">', ("link", 1)),
+        ('<a href=" \n/datasets/x "><a href="&#47;datasets&#x2F;y"><a href="/about">', ("link", 2)),
         ("<tr><td>no table</td></tr><div data-x='dataset'>", (None, None)),
         ("<!-- <article> --><script>'<article>'</script>", (None, None)),
     ],
