@@ -20,22 +20,24 @@ from pagecat.llm.common import by_bytes, written
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\x0c\r"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-# Measure: least distance of the upper and of the lower threshold from the median, for groups of hardly
-# any spread (None: no such threshold).
+# Measure: distance of the upper and of the lower threshold from the median where a group has no spread on that
+# side (None: no such threshold).
 MARGINS: dict[str, tuple[float | None, float | None]] = {
     "word_length": (1.5, 1.5),
     "symbol_share": (0.1, None),
     "dup_line_share": (0.05, None),
     "repeat_share": (0.05, None),
 }
-# Tail of each measure, and how many times as far from the median as its quantile the threshold lies. Up to
-# a tail of unusual rows does not move a threshold, so measures of junk, which can fill a source, take a wide one.
-SPREAD = 4.0
-TAILS: dict[str, tuple[float, float]] = {
-    "word_length": (0.15, SPREAD),
-    "symbol_share": (0.15, SPREAD),
-    "dup_line_share": (0.01, 1.0),
-    "repeat_share": (0.01, 1.0),
+# Tail of each measure, how many times as far from the median as its quantile the threshold lies, and the least
+# distance. Up to a tail of unusual rows does not move a threshold, so measures of junk, which can fill a source,
+# take a wide one: six times the distance of the 15 % quantile is about six standard deviations of a bell curve.
+# The shares of repeats end at a quantile itself, and would reject ordinary rows without a least distance.
+SPREAD = 6.0
+TAILS: dict[str, tuple[float, float, float]] = {
+    "word_length": (0.15, SPREAD, 0.0),
+    "symbol_share": (0.15, SPREAD, 0.0),
+    "dup_line_share": (0.01, 1.0, 0.05),
+    "repeat_share": (0.01, 1.0, 0.05),
 }
 # Rows a group needs before its own sketch is used.
 LEAST_ROWS = 200
@@ -124,13 +126,18 @@ def thresholds(rows: DataFrame) -> DataFrame:
     }
     chosen = joined.select("lang", "source", *(s.alias(m) for m, s in sketch.items()))
     quantiles = chosen.select("lang", "source", *(F.kll_sketch_get_quantile_double(m, F.lit(q)).alias(f"{m}_{k}") for m in names for k, q in (("a", TAILS[m][0]), ("b", 0.5), ("c", 1 - TAILS[m][0]))))
+
+    def distance(m: str, spread: Column, margin: float) -> Column:
+        _, times, least = TAILS[m]
+        return F.when(spread > 0, F.greatest(times * spread, F.lit(least))).otherwise(margin)
+
     out = ["lang", "source"]
     for m, (up, down) in MARGINS.items():
         a, b, c = (F.col(f"{m}_{k}") for k in "abc")
         if up is not None:
-            out.append((b + F.greatest(TAILS[m][1] * (c - b), F.lit(up))).alias(f"{m}_high"))
+            out.append((b + distance(m, c - b, up)).alias(f"{m}_high"))
         if down is not None:
-            out.append((b - F.greatest(TAILS[m][1] * (b - a), F.lit(down))).alias(f"{m}_low"))
+            out.append((b - distance(m, b - a, down)).alias(f"{m}_low"))
     return quantiles.select(*out)
 
 
@@ -138,7 +145,9 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     """doc_id, the counts, base_failed, kept and the reasons of every row.
 
     A null or empty text has no words and fails the base rules. A null language or source is a group of
-    its own. Repeated rows give repeated rows, an empty table an empty one.
+    its own. A measure that equals its threshold passes. Very long texts are measured whole, and columns of
+    ``docs`` beside the four named play no part, whatever their names. Repeated rows give repeated rows, an
+    empty table an empty one.
     """
     rows = written(with_shares(measured(docs, id_col, text_col, lang_col, source_col)), "measures")
     limits = written(thresholds(rows), "thresholds")

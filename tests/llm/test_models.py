@@ -152,15 +152,46 @@ def test_verdict_depends_on_the_source(spark):
 
 
 def test_thresholds_like_exact_quantiles(spark):
+    """Own tails of the group, or of all rows; a sketch's quantile lies within 3 % of the asked rank."""
     rnd = random.Random(4)
     docs = helpers.table(spark, [(helpers.prose(rnd, rnd.randint(60, 90), "aa"), "aa") for _ in range(700)])
     rows = quality.with_shares(quality.measured(docs))
     table = rows.toPandas()
-    for r in quality.thresholds(rows).collect():
+    tail = quality.TAILS["word_length"][0]
+    found = quality.thresholds(rows).collect()
+    assert found
+    for r in found:
         own = table[(table.lang == r.lang) & (table.source == r.source)]
         x = (own if len(own) >= quality.LEAST_ROWS else table).word_length
-        a, b, c = np.quantile(x, [0.25, 0.5, 0.75])
-        assert r.word_length_high == pytest.approx(b + max(quality.SPREAD * min(b - a, c - b), 1.5), abs=0.3)
+
+        def high(e):  # e: ranks by which the quantiles are off, apart or together
+            b, c = np.quantile(x, [0.5 - e, 1 - tail + e])
+            return b + quality.SPREAD * (c - b)
+
+        def low(e):
+            a, b = np.quantile(x, [tail - e, 0.5 + e])
+            return b - quality.SPREAD * (b - a)
+
+        assert high(-0.03) <= r.word_length_high <= high(0.03)
+        assert low(0.03) <= r.word_length_low <= low(-0.03)
+        assert r.symbol_share_high == 0.1  # no symbols, no spread
+
+
+def test_own_spread_of_symbols_decides(spark):
+    """Signs that are common in one source are unusual in another; the spread is the source's own."""
+    rnd = random.Random(8)
+
+    def signed(share):
+        words = helpers.prose(rnd, 100, "aa").split()
+        return " ".join([*words, *["#"] * round(share * len(words))])
+
+    rows = [(k, signed(0.2 + 0.02 * (k % 11)), "aa", "code") for k in range(300)]
+    rows += [(k, signed(0.01 * (k % 3)), "aa", "prose") for k in range(300, 600)]
+    rows += [(600, signed(0.3), "aa", "prose"), (601, signed(0.3), "aa", "code"), (602, signed(3), "aa", "code")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.reasons for r in quality.judged(docs).collect()}
+    assert "symbol_share_high" in got[600] and "symbol_share_high" not in got[601] and "symbol_share_high" in got[602]
+    assert not any("symbol_share_high" in got[k] for k in range(600))
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><p>Site name</p></header>
