@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagecat.functions.files import file_name_expr, file_type_expr, human_size_expr
 from pagecat.operators.embedded import embedded_json
-from pagecat.operators.joins import best_lookup, rank_expr
+from pagecat.operators.joins import best_lookup, lookup_join, rank_expr
 from pagecat.schemas import FILE, embedded_doc
 
 # Fixed value: the one set that, where present, is the whole list.
@@ -115,9 +115,12 @@ def attach_files(records: DataFrame, files: DataFrame) -> DataFrame:
     ``files`` holds one array per page (``page_files``), or flat rows, which are nested first. Of
     several copies of a page the longest list is taken.
     """
-    nested = files if "files" in files.columns else nest_files(files)
-    rank = rank_expr(F.coalesce(F.size("files"), F.lit(0)), F.col("files"))
-    joined = best_lookup(records.drop("files"), nested.select("dataset_url", "files"), "dataset_url", rank)
+    bare = records.drop("files")
+    if "files" in files.columns:
+        rank = rank_expr(F.coalesce(F.size("files"), F.lit(0)), F.col("files"))
+        joined = best_lookup(bare, files.select("dataset_url", "files"), "dataset_url", rank)
+    else:  # nested rows have one list per page already: nothing to choose, and nothing to write first
+        joined = lookup_join(bare, nest_files(files), "dataset_url")
     return joined.select(*[c for c in records.columns if c != "files"], *file_columns())
 
 

@@ -80,7 +80,7 @@ def _listing_rows(part: DataFrame) -> DataFrame:
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue listing: 50 rows to a page, 40 pages to a run, with repeats and odd rows."""
     page = _listing_rows(table(spark, sf_dir, "part")).groupBy("run", "page_num").agg(
-        F.array_sort(F.collect_list("entry")).alias("entries")  # 50 by construction
+        F.sort_array(F.collect_list("entry")).alias("entries")  # 50 by construction
     )
     rows = F.array_join(F.transform("entries", lambda e: e["row"]), "\n")
     links = F.array_join(F.transform("entries", lambda e: e["link"]), "<br>")
@@ -133,7 +133,7 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(*(values[f].alias(f) for f in BASE_FIELDS))
 
 
-def _item(line: Column) -> Column:
+def _item(line: dict[str, Column]) -> Column:
     part, number = line["l_partkey"], line["l_linenumber"]
     ext = _pick(part % 5, ["btf", "tar.gz", "h5", "cloupe", "csv"])
     name = (
@@ -152,6 +152,7 @@ def _item(line: Column) -> Column:
 
 
 def _fileset_map() -> Column:
+    """Sets by return flag; of every third order one with all files too. The lines bring their item along."""
     lines = F.col("lines")
 
     def items(status: str, flag: Column | None) -> Column:
@@ -159,7 +160,7 @@ def _fileset_map() -> Column:
             side = line["l_linestatus"] == "O" if status == "O" else line["l_linestatus"] != "O"
             return side if flag is None else side & (line["l_returnflag"] == flag)
 
-        return F.transform(F.filter(lines, wanted), _item)
+        return F.transform(F.filter(lines, wanted), lambda line: line["item"])
 
     def filed(flag: Column | None) -> Column:
         return F.struct(items("O", flag).alias("inputs"), items("F", flag).alias("outputs"))
@@ -216,13 +217,18 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linestatus",
     ]
     # Lines are small and pages large: keep every shuffle partition, so that pages are built and read
-    # by all tasks.
+    # by all tasks. Sorted lines are grouped and joined in one pass; an item is worked out once, in its
+    # line's own row, after the shuffle.
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    item = _item({name: F.col(name) for name in line_fields})
     lines = (
         table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", *line_fields)
         .repartition(partitions, "l_orderkey")
+        .sortWithinPartitions("l_orderkey")
+        .select("l_orderkey", F.struct(*line_fields, item.alias("item")).alias("line"))
         .groupBy("l_orderkey")
-        .agg(F.array_sort(F.collect_list(F.struct(*line_fields))).alias("lines"))
+        .agg(F.sort_array(F.collect_list("line")).alias("lines"))
     )
     orders = table(spark, sf_dir, "orders").where("o_orderkey % 37 <> 0")
     joined = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn(

@@ -10,6 +10,7 @@ from pagecat import session
 from pagecat.operators import enrich, files, joins, listing, quality, validate
 from pagecat.operators.joins import lookup_join, one_per_key
 from pagecat.plans import fixtures, flow
+from pagecat.schemas import FILE
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -171,3 +172,22 @@ def test_hot_listing_url_and_hot_run(spark):
 def test_key_coverage_and_statistics_need_no_group_in_memory(spark):
     a = fixtures.copy_a(spark, SF_DIR)
     assert "collect_" not in plan(validate.key_coverage(a, a)) + plan(quality.field_statistics(a))
+
+
+def test_pages_are_built_from_sorted_lines_without_a_hash_table(spark):
+    """Lines are grouped once, as they come sorted; no partial aggregate, no fall back to sorting."""
+    built = plan(fixtures.detail_pages(spark, SF_DIR))
+    assert built.count("SortAggregate") == 1 and "ObjectHashAggregate" not in built
+
+
+def test_flat_files_are_nested_without_a_stage(spark, monkeypatch):
+    def refuse(df, name):
+        raise AssertionError(f"{name} was written")
+
+    monkeypatch.setattr(joins, "stage", refuse)
+    schema = f"dataset_url string, set_pos int, file_pos int, kind string, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in FILE)}"
+    file = ("output", "t", "CSV", "a.csv", "1 B", 1, "m", "u")
+    flat = spark.createDataFrame([("a", 0, 1, *file), ("a", 0, 0, *file), ("a", 0, 0, *file), (None, 0, 0, *file)], schema)
+    records = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "dataset_url string, n int")
+    found = files.attach_files(records, flat).select("n", "files_found_count", "file_extraction_status").collect()
+    assert sorted(map(tuple, found)) == [(1, 2, "success"), (2, 2, "success"), (3, 0, "failed"), (4, 0, "failed")]
