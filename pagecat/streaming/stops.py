@@ -1,7 +1,8 @@
 """Where the crawl of each run stops, kept up to date while its pages arrive in any order.
 
 Three queries, each over what the one before wrote. The first parses new pages and shrinks each batch to one
-place per URL. The second keeps the first place of every URL in the state store; a URL found on an earlier
+place per URL. The second keeps the first place of every URL in the state store, a slice of a run's URLs to
+a row, as a call per URL would cost more than its work; a URL found on an earlier
 page than before is one new record less on the old page and one more on the new. The third keeps the pages
 of every run and their new records, and tells the page the run stops at whenever that changes. After any
 batch the answer is that of the batch rule over all pages so far.
@@ -9,6 +10,7 @@ batch the answer is that of the batch rule over all pages so far.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,18 +26,30 @@ from pagecat.streaming.ingest import page_stream, write_batch
 PLACES = "run string, dataset_url string, page_num int, pos int"
 COUNTS = "run string, page_num int, usable boolean, new_records long"
 STOPS = "run string, stop int"
-
-
-def first_place(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """A URL's first place: what its changes add to the new records of pages."""
-    places = pd.concat([f[["page_num", "pos"]] for f in frames])
-    now = min(zip(places["page_num"].tolist(), places["pos"].tolist()))
-    before = state.get if state.exists else None
-    if before is not None and tuple(before) <= now:
+# Slices of a run's URLs: with 50 rows to a page, one is about as long as the run's own row of pages.
+SLICES = 64
+
+
+def first_places(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """First places of a slice's URLs: what their changes add to the new records of pages."""
+    new = pd.concat(list(frames))
+    urls, pages, positions = state.get if state.exists else ([], [], [])
+    first = dict(zip(urls, zip(pages, positions)))
+    changes = Counter()
+    for url, page, pos in zip(new["dataset_url"].tolist(), new["page_num"].tolist(), new["pos"].tolist()):
+        before = first.get(url)
+        if before is not None and before <= (page, pos):
+            continue
+        first[url] = page, pos
+        changes[page] += 1
+        if before is not None:
+            changes[before[0]] -= 1
+    if not changes:
         return
-    state.update(now)
-    changes = [(now[0], 1)] if before is None else [(now[0], 1), (before[0], -1)]
-    yield pd.DataFrame({"run": [key[0]] * len(changes), "page_num": [p for p, _ in changes], "new_records": [n for _, n in changes]})
+    state.update((list(first), [page for page, _ in first.values()], [pos for _, pos in first.values()]))
+    told = {page: n for page, n in changes.items() if n}
+    if told:
+        yield pd.DataFrame({"run": [key[0]] * len(told), "page_num": [*told], "new_records": [*told.values()]})
 
 
 def stop_of(pages: np.ndarray, counts: np.ndarray, usable: np.ndarray, votes: int) -> int | None:
@@ -113,9 +127,14 @@ def stream_stops(
 
     changes = (
         spark.readStream.schema(PLACES + ", batch long").option("maxFilesPerTrigger", files_per_batch).parquet(places)
-        .groupBy("run", "dataset_url")
+        .withColumn("slice", F.pmod(F.xxhash64("dataset_url"), F.lit(SLICES)))
+        .groupBy("run", "slice")
         .applyInPandasWithState(
-            first_place, "run string, page_num int, new_records long", "page_num int, pos int", "append", GroupStateTimeout.NoTimeout
+            first_places,
+            "run string, page_num int, new_records long",
+            "urls array<string>, pages array<int>, positions array<int>",
+            "append",
+            GroupStateTimeout.NoTimeout,
         )
     )
 

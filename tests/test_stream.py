@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,3 +127,23 @@ def test_stop_of_pages():
     assert stop([2, 0, 1], [0, 0, 0]) == 2 and stop([0, 1, 3], [0, 0, 0]) is None
     assert stop([0, 1, 2, 3], [1, 1, 1, 1], [True, True, False, True]) == 2
     assert stop([0, 1, 2, 3], [0, 0, 0, 1], [True, True, True, False]) == 2
+
+
+class _State:
+    exists, get = False, None
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+
+def test_one_call_keeps_the_first_places_of_many_urls():
+    state, columns = _State(), ["dataset_url", "page_num", "pos"]
+    tell = lambda *rows: [
+        (r.page_num, r.new_records)
+        for f in stops.first_places(("r", 5), iter([pd.DataFrame(rows, columns=columns)]), state)
+        for r in f.itertuples()
+    ]
+    assert sorted(tell(("a", 3, 0), ("b", 3, 1), ("c", 4, 0))) == [(3, 2), (4, 1)]
+    assert tell(("a", 3, 2), ("b", 7, 0)) == []
+    assert sorted(tell(("a", 1, 0), ("c", 4, 0), ("b", 2, 9), ("b", 2, 1))) == [(1, 1), (2, 1), (3, -2)]
+    assert state.get == (["a", "b", "c"], [1, 2, 4], [0, 1, 0])
