@@ -32,7 +32,15 @@ def _over_tie(value: Column, numerator: Column, denominator: int, shift: int) ->
 def ratio_text_expr(amount: Column, step: int) -> Column:
     """``amount / step`` as text with two digits (amount a bigint, step a power of ten)."""
     exact = amount.cast("decimal(20,0)")
-    nearest = F.bround(exact * F.lit(Decimal(1) / Decimal(step)), 2)
+    nearest = F.bround(exact * F.lit(Decimal(1) / Decimal(step)), 2).cast("decimal(20,2)").cast("string")
+    # Most amounts are no tie and not negative: whole numbers give their nearest hundredth without decimals.
+    unit = F.lit(step // 100).cast("bigint")
+    hundredths = F.call_function("div", amount, unit) + F.when(amount % unit > step // 200, 1).otherwise(0)
+    plain = F.concat(
+        F.call_function("div", hundredths, F.lit(100)).cast("string"),
+        F.lit("."),
+        F.lpad((hundredths % 100).cast("string"), 2, "0"),
+    )
     below = F.floor(exact * F.lit(Decimal(100) / Decimal(step))).cast("decimal(20,0)")
     quotient = (exact * F.lit(Decimal(1) / Decimal(step))).cast("double")
     value = F.when(amount < 2**53, amount / F.lit(float(step))).otherwise(quotient)
@@ -44,8 +52,10 @@ def ratio_text_expr(amount: Column, step: int) -> Column:
     up = (side > 0) | ((side == 0) & (below % 2 == 1))
     tie = F.when(up, below + 1).otherwise(below) * F.lit(Decimal("0.01"))
     is_tie = amount % (step // 100) == step // 200
-    return F.when(is_tie, tie.cast("decimal(20,2)").cast("string")).otherwise(
-        nearest.cast("decimal(20,2)").cast("string")
+    return (
+        F.when(is_tie, tie.cast("decimal(20,2)").cast("string"))
+        .when(amount >= 0, plain)
+        .otherwise(nearest)
     )
 
 

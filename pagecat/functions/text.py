@@ -17,7 +17,11 @@ _WS_CHARACTERS = "".join(chr(code) for code in range(0x3001) if chr(code).isspac
 # The rest of a tag after its name: quoted values may hold '>'. Possessive: no backtracking.
 # Patterns start with a plain '<', which skips text fastest.
 TAG_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
-_UNSEEN = r"(?s)<(?:!--.*?(?:-->|\z)|(?i:(script|style|noscript|template{head})\b.*?(?:</\1\s*>|\z)))"
+# The content of a script is skipped by runs of text without '<', not character by character.
+_UNSEEN = (
+    r"(?s)<(?:!--.*?(?:-->|\z)|"
+    r"(?i:(script|style|noscript|template{head})\b(?:[^<]++|<(?!/\1\s*>))*+(?:</\1\s*>|\z)))"
+)
 _NO_CONTENT = _UNSEEN.format(head="")
 _NO_CONTENT_OR_HEAD = _UNSEEN.format(head="|head")
 _BREAKS = (

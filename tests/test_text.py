@@ -134,3 +134,9 @@ def test_first_rule_anywhere_decides(one):
 
     assert tissue("skin of the lymph node") == "Lymph Node"
     assert tissue("") == ""
+
+
+def test_unseen_content_ends_at_its_own_end_tag(one):
+    """Content that holds other end tags and lone '<', however much of it, goes as a whole."""
+    html = "a<script>" + "x<y </style> </scriptx>" * 50_000 + "</SCRIPT >b<style>c</script>d"
+    assert one(t.drop_unseen_expr(F.col("x")), "x string", html) == "ab"
