@@ -24,6 +24,8 @@ MARK = "▁"
 _SAFE = re.compile(f"(?<=[^ {MARK}])[ {MARK}](?=[^ {MARK}])")
 # Parts remembered by a Python worker; beyond it the memory starts anew (results don't change).
 REMEMBERED = 300_000
+# Likewise of parts remembered with their ids, about 0.2 KB each.
+REMEMBERED_IDS = 800_000
 # Parts longer than this are encoded, but not remembered.
 LONG_PART = 64
 
@@ -61,7 +63,7 @@ def part_ids(path: str, texts: list[list[str]]) -> dict[str, bytes]:
     for p in long:
         known.pop(p, None)
     long.clear()
-    if len(known) > REMEMBERED:
+    if len(known) > REMEMBERED_IDS:
         known.clear()
     fresh = list(set(chain.from_iterable(texts)).difference(known))
     known.update(zip(fresh, (array("H", i).tobytes() for i in model.encode(fresh, num_threads=1))))

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -54,6 +55,17 @@ def test_remembered_parts_do_not_change_counts(monkeypatch, pieces):
     assert [counts.lengths(PIECES, [t])[0] for t in texts] == [len(pieces.encode(t)) for t in texts]
 
 
+def test_ids_of_many_words_are_remembered(monkeypatch, pieces):
+    counts._ids.cache_clear()
+    first = [f"w{k}" for k in range(310_000)]
+    counts.part_ids(PIECES, [first])
+    known = counts.part_ids(PIECES, [["other"]])
+    assert len(known) == 310_001 and known["w7"] == array("H", pieces.encode("w7")).tobytes()
+    monkeypatch.setattr(counts, "REMEMBERED_IDS", 1000)
+    assert set(counts.part_ids(PIECES, [["w7", "new"]])) == {"w7", "new"}
+    counts._ids.cache_clear()
+
+
 def test_word_bpe_like_the_library(words):
     model = bpe.vocabulary(WORDS)
     rnd = random.Random(2)
