@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagecat.functions.files import file_name_expr, file_type_expr, human_size_expr
 from pagecat.operators.embedded import embedded_json
-from pagecat.operators.joins import best_lookup, lookup_join, rank_expr
+from pagecat.operators.joins import best_lookup, grouped_lookup_join, rank_expr
 from pagecat.schemas import FILE, embedded_doc
 
 # Fixed value: the one set that, where present, is the whole list.
@@ -96,17 +98,17 @@ def page_files(pages: DataFrame) -> DataFrame:
     return docs.select("dataset_url", files_expr(F.col("doc.props.pageProps.filesetMap")).alias("files"))
 
 
-def nest_files(flat: DataFrame, key: str = "dataset_url") -> DataFrame:
+def nest_files(flat: DataFrame, by: Sequence[str] = ("dataset_url",)) -> DataFrame:
     """Rows of ``explode_files`` back to one ordered array per page.
 
-    Copies of a page repeat its places; each place is reduced to one file before the shuffle, so an
-    array never holds more than one page's list.
+    Copies of a page repeat its places; each place is reduced to one file first, so an array never
+    holds more than one page's list.
     """
-    places = flat.groupBy(key, "set_pos", "file_pos").agg(
+    places = flat.groupBy(*by, "set_pos", "file_pos").agg(
         F.max(F.struct("kind", *FILE_NAMES)).alias("file")
     )
     in_order = F.array_sort(F.collect_list(F.struct("set_pos", "file_pos", "file")))
-    return places.groupBy(key).agg(F.transform(in_order, lambda e: e["file"]).alias("files"))
+    return places.groupBy(*by).agg(F.transform(in_order, lambda e: e["file"]).alias("files"))
 
 
 def attach_files(records: DataFrame, files: DataFrame) -> DataFrame:
@@ -120,7 +122,7 @@ def attach_files(records: DataFrame, files: DataFrame) -> DataFrame:
         rank = rank_expr(F.coalesce(F.size("files"), F.lit(0)), F.col("files"))
         joined = best_lookup(bare, files.select("dataset_url", "files"), "dataset_url", rank)
     else:  # nested rows have one list per page already: nothing to choose, and nothing to write first
-        joined = lookup_join(bare, nest_files(files), "dataset_url")
+        joined = grouped_lookup_join(bare, files, "dataset_url", nest_files)
     return joined.select(*[c for c in records.columns if c != "files"], *file_columns())
 
 

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagecat.session import stage
 
+# A key is hot if it has more records than this, and more than this part of them all.
+HOT_RECORDS = 100_000
+HOT_PART = 64
+
 
 def one_per_key(df: DataFrame, key: str, prefer: Column) -> DataFrame:
     """One row per key: the one with the greatest ``prefer``. Copies shrink before the shuffle."""
@@ -28,6 +34,31 @@ def lookup_join(records: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     return left.join(right, [key, "_key_hash"], "left").drop("_key_hash")
 
 
+def has_hot_key(records: DataFrame, key: str) -> bool:
+    """Whether a key has too many records for one task to join. Counts them at once, by the key's hash alone."""
+    counts = records.groupBy(F.xxhash64(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    seen = counts.agg(F.max("n").alias("most"), F.sum("n").alias("total")).first()
+    return (seen["most"] or 0) > max(HOT_RECORDS, (seen["total"] or 0) // HOT_PART)
+
+
+def grouped_lookup_join(
+    records: DataFrame, rows: DataFrame, key: str, group: Callable[[DataFrame, list[str]], DataFrame]
+) -> DataFrame:
+    """Left join of records to ``group(rows, by)``, one row per key made of many wide rows, which move once.
+
+    The rows go where the records of their key go, so neither the aggregates nor the join shuffle them again.
+    On the way they meet the records' keys, each once, in a join of two plain shuffles: a key that holds many
+    rows is split there at run time, and only then do the aggregates shuffle, what is left of its parts. The
+    hint spares the rows a sort. A hot key of the records can't be split like this; ``lookup_join`` can.
+    """
+    if has_hot_key(records, key):
+        return lookup_join(records, group(rows, [key]), key)
+    by = [key, "_key_hash"]
+    keys = records.select(key).distinct().withColumn("_key_hash", F.xxhash64(key))
+    met = rows.withColumn("_key_hash", F.xxhash64(key)).join(keys.hint("shuffle_hash"), by)
+    return records.withColumn("_key_hash", F.xxhash64(key)).join(group(met, by), by, "left").drop("_key_hash")
+
+
 def rank_expr(merit: Column, *tie: Column) -> Column:
     """One number that orders copies of a page: by merit (at most 2^45), equal ones by their content.
 

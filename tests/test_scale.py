@@ -191,3 +191,61 @@ def test_flat_files_are_nested_without_a_stage(spark, monkeypatch):
     records = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "dataset_url string, n int")
     found = files.attach_files(records, flat).select("n", "files_found_count", "file_extraction_status").collect()
     assert sorted(map(tuple, found)) == [(1, 2, "success"), (2, 2, "success"), (3, 0, "failed"), (4, 0, "failed")]
+
+
+FILE_TYPES = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FILE)
+
+
+def copies(spark, n, page, places=2):
+    """Flat rows of ``n`` copies of pages, dealt to 8 tasks; a copy's number is its files' size."""
+    rows = spark.range(0, n, 1, 8).select(page.alias("dataset_url"), F.col("id").alias("size_bytes"), F.explode(F.sequence(F.lit(0), F.lit(places - 1))).alias("file_pos"))
+    text = {"kind": "output", "file_title": "t", "file_type": "CSV", "filename": "a.csv", "size": "1 B", "md5sum": "m"}
+    values = {"set_pos": F.col("size_bytes").cast("int") % 1, "set_name": F.lit("Files"), **{k: F.lit(v) for k, v in text.items()}, "url": F.format_string("u%s", "file_pos")}
+    return rows.withColumns(values)
+
+
+def sizes(filed):
+    return {r.n: (r.file_extraction_status, [f.size_bytes for f in r.files]) for r in filed.collect()}
+
+
+def test_flat_files_move_once(spark, no_broadcast):
+    """Between the shuffle of the flat rows and the records' join: one sort, no other shuffle."""
+    flat = copies(spark, 100, F.format_string("p%s", F.col("id") % 10))
+    text = plan(files.attach_files(spark.range(10).select(F.format_string("p%s", "id").alias("dataset_url")), flat))
+    nested = text[text.index("SortAggregate") : text.index("ShuffledHashJoin")]
+    assert "Exchange" not in nested and "ObjectHashAggregate" not in text
+    assert len(re.findall(r"\bSort \[", nested)) == 1
+    assert re.search(r"ShuffledHashJoin.*\n[ :+-]*Exchange hashpartitioning\(dataset_url#\d+, _key_hash#\d+L", text)
+
+
+def test_flat_copies_of_a_hot_page_are_split(spark, no_broadcast):
+    """A page with most of all copies: its rows are read by several tasks, and its list is still one page's."""
+    small = {"skewJoin.skewedPartitionThresholdInBytes": "2k", "skewJoin.skewedPartitionFactor": "2", "advisoryPartitionSizeInBytes": "2k", "coalescePartitions.enabled": "false"}
+    for k, v in small.items():
+        spark.conf.set(f"spark.sql.adaptive.{k}", v)
+    try:
+        n = F.col("id")
+        flat = copies(spark, 20_000, F.when(n % 50 != 0, "hot").when(n % 100 == 0, F.format_string("p%s", n % 1000)))
+        records = spark.createDataFrame([("hot", 1), ("hot", 2), ("p100", 3), ("none", 4), (None, 5)], "dataset_url string, n int")
+        filed = files.attach_files(records, flat)
+        found = sizes(filed)
+        text = plan(filed)
+    finally:
+        for k in small:
+            spark.conf.unset(f"spark.sql.adaptive.{k}")
+    hot, none = ("success", [19_999, 19_999]), ("failed", [])
+    assert found == {1: hot, 2: hot, 3: ("success", [19_100, 19_100]), 4: none, 5: none}
+    assert "ShuffledHashJoin(skew=true)" in text
+
+
+def test_a_hot_key_of_the_records_is_still_split(spark, monkeypatch):
+    records = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 4), (None, 5)], "dataset_url string, n int")
+    flat = copies(spark, 40, F.when(F.col("id") % 2 == 0, "a").otherwise("c"))
+    usual = sizes(files.attach_files(records, flat))
+    asked = []
+    monkeypatch.setattr(joins, "lookup_join", lambda *given: asked.append(given) or lookup_join(*given))
+    assert not joins.has_hot_key(records, "dataset_url") and not joins.has_hot_key(records.limit(0), "dataset_url")
+    monkeypatch.setattr(joins, "HOT_RECORDS", 2)
+    assert joins.has_hot_key(records, "dataset_url") and not joins.has_hot_key(records.where("n > 2"), "dataset_url")
+    assert sizes(files.attach_files(records, flat)) == usual and len(asked) == 1
+    assert usual == {n: ("success", [38, 38]) if n < 4 else ("failed", []) for n in range(1, 6)}
